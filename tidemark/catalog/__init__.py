@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["events", "signals"]
+MODULES = ["events", "signals", "ledger", "rules", "table"]
 
 
 def _modules():

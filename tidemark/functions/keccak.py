@@ -96,8 +96,10 @@ def checksum_batch(addresses: list[str]) -> list[str]:
 @F.pandas_udf(T.StringType())
 def _checksum_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in batches:
-        distinct = batch.dropna().unique().tolist()
-        yield batch.map(dict(zip(distinct, checksum_batch(distinct))))
+        values = batch.astype(object)
+        distinct = values.dropna().unique().tolist()
+        forms = dict(zip(distinct, checksum_batch(distinct)))
+        yield pd.Series([forms.get(v) for v in values], dtype=object)
 
 
 def checksum_address(c: Column) -> Column:

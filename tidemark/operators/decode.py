@@ -30,12 +30,15 @@ def unregister_decoder(source: str) -> None:
 
 
 def inline_rows(df: DataFrame, array: str, *keep: Column | str) -> DataFrame:
-    """One row per array element. The outer form is used because the plain one makes
-    the optimizer push a size filter below the array expressions and evaluate them
-    twice; empty arrays are dropped afterwards."""
+    """One row per array element; an element of all NULLs does not count as one.
+
+    The outer form is used because the plain one makes the optimizer push a size filter
+    below the array expressions and evaluate them twice. Empty arrays are dropped by
+    looking at generated columns only, which cannot be pushed down either.
+    """
     fields = df.schema[array].dataType.elementType.fieldNames()
-    rows = df.withColumn("_n", F.size(array)).select("_n", *keep, F.inline_outer(array).alias(*fields))
-    return rows.where("_n > 0").drop("_n")
+    rows = df.select(*keep, F.inline_outer(array).alias(*fields))
+    return rows.where(" OR ".join(f"`{name}` IS NOT NULL" for name in fields))
 
 
 def decode_default(raw: DataFrame) -> DataFrame:
