@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.operators.ordered import running_stats
-from tidemark.session import configure
+from tidemark.session import configure, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,10 +35,15 @@ def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
-def adapt(spark: SparkSession, directory: str, text: str, zoned: tuple[str, ...] = ()) -> DataFrame:
-    """Run an adapter in Spark; ``zoned`` columns become UTC timestamps."""
+def adapt(
+    spark: SparkSession, directory: str, text: str, zoned: tuple[str, ...] = (), heavy: bool = False
+) -> DataFrame:
+    """Run an adapter in Spark; ``zoned`` columns become UTC timestamps. ``heavy`` says
+    that costly expressions per row follow."""
     names = sorted(set(re.findall(r"\{(\w+)\}", text)))
     tables = {n: load(spark, directory, n) for n in names}
+    if heavy:
+        tables = {n: spread(t) for n, t in tables.items()}
     iso = "date_format(\\1, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
     for name, table in tables.items():
         table.createOrReplaceTempView(f"adapter_{name}")
@@ -88,8 +93,8 @@ FROM ({RAW}) second_arrival WHERE CAST(id AS BIGINT) % 7 = 0
 TIMES = ("time", "ingest_time")
 
 
-def raw_events(spark: SparkSession, directory: str) -> DataFrame:
-    return adapt(spark, directory, RAW, TIMES)
+def raw_events(spark: SparkSession, directory: str, heavy: bool = False) -> DataFrame:
+    return adapt(spark, directory, RAW, TIMES, heavy)
 
 
 def raw_events_dup(spark: SparkSession, directory: str) -> DataFrame:

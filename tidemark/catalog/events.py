@@ -28,6 +28,7 @@ from tidemark.operators import attest, dedup, normalize, ordered, payloads, repo
 from tidemark.operators.throttle import throttle_first
 from tidemark.plans.lake import date_predicate, union_native_and_backfilled, with_partition_columns
 from tidemark.sources.envelopes import parse_envelopes
+from tidemark.session import spread
 from tidemark.sources.tables import sample_events
 
 QUERIES: dict = {}
@@ -82,7 +83,7 @@ SELECT event_id, reason AS reject_reason,
 FROM q""",
 )
 def parse_envelopes_query(spark, d):
-    messages = adapt(spark, d, MESSAGES, ("ingest_time",))
+    messages = adapt(spark, d, MESSAGES, ("ingest_time",), heavy=True)
     headers = F.create_map(F.lit(fv.HEADER_VOIDS_ID), F.col("voids_header"))
     parsed = parse_envelopes(messages.withColumn("headers", headers))
     blank = lambda c: F.coalesce(c, F.lit("")).alias(c)
@@ -143,7 +144,7 @@ judged AS (
 
 
 def _headers(spark, d):
-    rows = adapt(spark, d, HEADERS, ("ingest_time", "time"))
+    rows = adapt(spark, d, HEADERS, ("ingest_time", "time"), heavy=True)
     return rows.withColumns(
         {
             "tags": F.lit(None).cast("array<string>"),
@@ -165,17 +166,13 @@ FROM judged""",
 )
 def validate_headers(spark, d):
     checked = normalize.validate_connection(_headers(spark, d))
-    # A rejected legacy identifier keeps its sent form only where it is itself invalid.
-    rejected = F.col("reject_reason").isNotNull()
-    sent = normalize.validate_connection(_headers(spark, d), canonical=False)
-    keep = sent.select("event_id", F.lower("subject").alias("_sent"))
-    return checked.join(keep, "event_id").select(
+    return checked.select(
         "event_id",
         F.coalesce("reject_reason", F.lit("")).alias("reject_reason"),
         "specversion",
         "datacontenttype",
         "id",
-        F.when(rejected, F.col("_sent")).otherwise(F.lower("subject")).alias("subject"),
+        F.lower("subject").alias("subject"),
         F.lower("source").alias("source"),
         F.lower("producer").alias("producer"),
         millis("time"),
@@ -223,7 +220,7 @@ faults AS (SELECT payload_id, arg_min(fault, header_index) AS fault FROM judged
 
 
 def _payloads(spark, d):
-    e = load(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    e = spread(load(spark, d, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
     eid = F.col("event_id")
 
     def header(i):
@@ -312,7 +309,7 @@ SELECT event_id, CASE WHEN type <> '{fv.TYPE_FINGERPRINT}' THEN 'kept' WHEN NOT
      ELSE 'dropped_vin' END AS outcome FROM f""",
 )
 def fingerprint_gate(spark, d):
-    rows = adapt(spark, d, FINGERPRINTS)
+    rows = adapt(spark, d, FINGERPRINTS, heavy=True)
     return rows.select("event_id", F.coalesce(normalize.fingerprint_gate(), F.lit("kept")).alias("outcome"))
 
 
@@ -340,7 +337,7 @@ j AS (SELECT *, CASE WHEN data = '' THEN 'tombstone_data_required' WHEN NOT ok T
 SELECT event_id, fault, CASE WHEN fault = '' THEN data->>'$.voidsId' ELSE '' END AS voids_id FROM j""",
 )
 def parse_tombstone(spark, d):
-    rows = adapt(spark, d, TOMBSTONES)
+    rows = adapt(spark, d, TOMBSTONES, heavy=True)
     voids_id, fault = attest.parse_tombstone(F.col("data"))
     blank = F.lit("")
     return rows.select(
@@ -385,7 +382,7 @@ SELECT event_id, reject_reason, subject, resolved AS source,
 FROM j""",
 )
 def normalize_attestations(spark, d):
-    rows = adapt(spark, d, ATTESTATIONS, ("ingest_time", "time"))
+    rows = adapt(spark, d, ATTESTATIONS, ("ingest_time", "time"), heavy=True)
     text_null = F.lit(None).cast("string")
     rows = rows.withColumns(
         {
@@ -425,7 +422,7 @@ FROM raw""",
 )
 def to_raw_row(spark, d):
     n = F.col("id").cast("long")
-    rows = raw_events(spark, d).withColumns(
+    rows = raw_events(spark, d, heavy=True).withColumns(
         {
             "datacontenttype": F.col("data_content_type"),
             "dataversion": F.col("data_version"),
@@ -459,7 +456,7 @@ def to_raw_row(spark, d):
 SELECT id, event_key, sha256(event_key) AS message_id, substring(sha256(concat(event_key, '|', type)), 1, 32) AS decoded_id FROM k""",
 )
 def event_ids(spark, d):
-    rows = raw_events(spark, d).withColumn("event_key", identity.event_key())
+    rows = raw_events(spark, d, heavy=True).withColumn("event_key", identity.event_key())
     return rows.select(
         "id",
         "event_key",
@@ -493,7 +490,7 @@ SELECT id, concat('{fv.ROUTE_ROOT}.', replace(type, '.', '_'), '.', subject, '.p
        concat('{fv.ROUTE_ROOT}.', replace(type, '.', '_'), '.>') AS type_filter FROM f""",
 )
 def routes(spark, d):
-    return raw_events(spark, d).select(
+    return raw_events(spark, d, heavy=True).select(
         "id",
         identity.route_subject(F.col("type"), F.col("subject"), 16).alias("route"),
         identity.route_partition(F.col("subject"), 16).alias("route_partition"),

@@ -27,6 +27,17 @@ def path_prefix(c: Column) -> Column:
     return F.regexp_extract(c, r"^(.*/)?[^/]*\z", 1)
 
 
+def storage_path(c: Column) -> Column:
+    """The path a file system understands, from the URL-encoded form that the file
+    metadata column reports. Local paths get one slash after the scheme."""
+    decoded = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return one_slash(decoded)
+
+
+def one_slash(c: Column) -> Column:
+    return F.regexp_replace(c, "^file:/+", "file:/")
+
+
 def merge_json_objects(a: Column, b: Column) -> Column:
     """Join two serialised JSON objects that share no keys."""
     joined = F.concat(F.lit("{"), _inner(a), F.lit(","), _inner(b), F.lit("}"))

@@ -159,9 +159,10 @@ def validate_connection(events: DataFrame, canonical: bool = True) -> DataFrame:
     )
     if not canonical:
         return checked
-    # The canonical form of a rejected row is NULL; keep what it was sent with.
+    # A rejected row keeps what it was sent with.
     made = canonical_columns(checked.withColumns({f"_sent_{n}": F.col(n) for n in _SENT}))
-    kept = {n: F.coalesce(F.col(n), F.col(f"_sent_{n}")) for n in _SENT}
+    accepted = F.col("reject_reason").isNull()
+    kept = {n: F.when(accepted, F.col(n)).otherwise(F.col(f"_sent_{n}")) for n in _SENT}
     return made.withColumns(kept).drop(*[f"_sent_{n}" for n in _SENT])
 
 

@@ -271,9 +271,10 @@ def union_native_and_backfilled(native: DataFrame, backfilled: DataFrame) -> Dat
     return native.unionByName(backfilled, allowMissingColumns=True)
 
 
-def quarantine(rejects: DataFrame, path: str, reason: str = "reject_reason") -> None:
-    """Append rejected rows partitioned by reason."""
-    rejects.withColumn("reject_class", reject_class(reason)).write.mode("append").partitionBy(reason).parquet(path)
+def quarantine(rejects: DataFrame, path: str, mode: str = "append", reason: str = "reject_reason") -> None:
+    """Write rejected rows with their class, partitioned by reason."""
+    flat = rejects.drop(*[c for c in ("headers", "tags") if c in rejects.columns])
+    flat.withColumn("reject_class", reject_class(reason)).write.mode(mode).partitionBy(reason).parquet(path)
 
 
 def append_decoded(new: DataFrame, path: str, keys: list[str], date_column: str) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark import schemas
+from tidemark.functions.text import one_slash, storage_path
 from tidemark.operators import consumers, files, reports
 from tidemark.plans.lake import RawEventTable, write_options
 from tidemark.session import settle
@@ -49,8 +50,9 @@ def _ts(value: datetime) -> Column:
 # ---- rewrites ---------------------------------------------------------------
 
 
-def _paths(rows: DataFrame) -> list[str]:
-    return [r[0] for r in rows.select("path").limit(FILES_PER_JOB).collect()]
+def _paths(rows: DataFrame, path: Column) -> list[str]:
+    """At most FILES_PER_JOB paths for a reader."""
+    return [r[0] for r in rows.select(path).limit(FILES_PER_JOB).collect()]
 
 
 def _rewrite(table: RawEventTable, chosen: DataFrame, kind: str, as_of: datetime, options: dict) -> int | None:
@@ -61,7 +63,7 @@ def _rewrite(table: RawEventTable, chosen: DataFrame, kind: str, as_of: datetime
     """
     spark = table.spark
     chosen = settle(chosen.limit(FILES_PER_JOB))
-    paths = _paths(chosen)
+    paths = _paths(chosen, storage_path(F.col("path")))
     if not paths:
         return None
     snapshot_id = table.head() + 1
@@ -132,8 +134,7 @@ def relayout(table: RawEventTable, as_of: datetime, **options: str) -> int | Non
     audit = reports.layout_audit(table.stored())
     wrong = audit.where("unsorted_rows > 0 OR misplaced_rows > 0").select(F.col("file_path").alias("path"))
     chosen = settle(table.live_files().join(wrong, "path", "left_semi").limit(FILES_PER_JOB))
-    paths = _paths(chosen)
-    if not paths:
+    if not chosen.head(1):
         return None
     snapshot_id = table.head() + 1
     rows = table.stored().join(F.broadcast(chosen.select(F.col("path").alias("file_path"))), "file_path", "left_semi")
@@ -170,7 +171,7 @@ def backfill(
     while True:
         fresh = files.new_files(parquet, known)
         batch = settle(files.registration_batches(fresh, cap).orderBy("path").limit(FILES_PER_JOB))
-        paths = _paths(batch)
+        paths = _paths(batch, F.col("path"))
         if not paths:
             break
         base = table.head()
@@ -183,7 +184,7 @@ def backfill(
         bare = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
         rows = (
             read_bundles(spark, paths)
-            .withColumn("_path", bare(F.col("path")))
+            .withColumn("_path", bare(storage_path(F.col("path"))))
             .drop("path")
             .join(F.broadcast(placed.select(bare(F.col("path")).alias("_path"), "snapshot_id")), "_path")
             .drop("_path")
@@ -223,23 +224,27 @@ def expire(table: RawEventTable, cutoff: datetime) -> int:
 
 
 def cleanup_candidates(table: RawEventTable) -> DataFrame:
-    return files.unreferenced_files(table.data_files(), table.snapshots())
+    """Ledger rows of removed files no retained snapshot needs, with ``storage_path``."""
+    found = files.unreferenced_files(table.data_files(), table.snapshots())
+    return found.withColumn("storage_path", storage_path(F.col("path")))
 
 
 def table_listing(table: RawEventTable) -> DataFrame:
-    """Data files on storage, by the path form the ledger uses."""
+    """Data files on storage; ``path`` is the storage path."""
     listed = files.list_objects(table.spark, table.data)
-    slashes = F.regexp_replace("path", "^([a-z0-9]+):/*", "$1:///")
-    return listed.where(F.col("key").endswith(".parquet")).withColumn("path", slashes)
+    return listed.where(F.col("key").endswith(".parquet")).withColumn("path", one_slash(F.col("path")))
 
 
 def orphan_candidates(table: RawEventTable, as_of: datetime, window: int = fv.ORPHAN_SECONDS) -> DataFrame:
-    known = table.data_files().select("path")
-    return files.orphan_files(table_listing(table), known, _ts(as_of), window)
+    """Old files on storage no ledger row refers to, with ``storage_path``."""
+    known = table.data_files().select(storage_path(F.col("path")).alias("path"))
+    found = files.orphan_files(table_listing(table), known, _ts(as_of), window)
+    return found.withColumnRenamed("path", "storage_path")
 
 
 def delete_paths(table: RawEventTable, candidates: DataFrame, snapshot_id: int) -> int:
-    """Delete files from storage and note it in the ledger. Irreversible: callers opt in.
+    """Delete files by ``storage_path``; ledger files are also marked as deleted there.
+    Irreversible: callers opt in.
 
     Deletion is one metadata call per file; a call takes at most FILES_PER_JOB.
     """
@@ -247,11 +252,11 @@ def delete_paths(table: RawEventTable, candidates: DataFrame, snapshot_id: int)
     columns = [f.split(" ")[0] for f in schemas.FILES.split(", ")]
     doomed = settle(candidates.limit(FILES_PER_JOB))
     n = 0
-    for row in doomed.select("path").toLocalIterator():
+    for row in doomed.select("storage_path").toLocalIterator():
         target = spark._jvm.org.apache.hadoop.fs.Path(row[0])
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)
         n += 1
-    if n and "type" in doomed.columns:
+    if n and "added_snapshot" in doomed.columns:
         gone = doomed.withColumns({"action": F.lit("delete"), "snapshot_id": F.lit(snapshot_id).cast("long")})
         table._append_log("files", gone.select(*columns))
     return n

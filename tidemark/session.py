@@ -60,6 +60,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a small input has fewer splits than cores, for work
+    that is heavy per row. Inputs with enough splits are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise ``df`` once in the shared folder so later branches read equal rows."""
     checkpoint_root(df.sparkSession)

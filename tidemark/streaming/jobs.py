@@ -61,6 +61,8 @@ def ingest_query(
     def write(batch: DataFrame, batch_id: int) -> None:
         name = f"{query}-{batch_id}"
         if table.all_snapshots().where(F.col("batch") == name).head(1):
+            # The deduplication state still has to be advanced by this batch.
+            batch.write.format("noop").mode("append").save()
             return
         batch = batch.persist()
         try:
@@ -68,7 +70,7 @@ def ingest_query(
             stored, blobs, faults = payloads.split_payloads(accepted, threshold)
             blobs.write.mode("overwrite").parquet(f"{table.root}/blobs/batch={name}")
             both = rejected.unionByName(faults, allowMissingColumns=True)
-            replace_quarantine(both, f"{table.root}/quarantine/batch={name}")
+            quarantine(both, f"{table.root}/quarantine/batch={name}", "overwrite")
             table.append(normalize.to_raw_row(stored), _now(), batch=name, **write_options)
         finally:
             batch.unpersist()
@@ -86,12 +88,6 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def replace_quarantine(rejects: DataFrame, path: str) -> None:
-    drop = [c for c in ("headers", "tags") if c in rejects.columns]
-    rejects = rejects.drop(*drop)
-    rejects.write.mode("overwrite").partitionBy("reject_reason").parquet(path)
-
-
 def blobs_of(table: RawEventTable) -> DataFrame:
     return table.spark.read.schema("data_index_key string, payload binary, batch string").parquet(f"{table.root}/blobs")
 
