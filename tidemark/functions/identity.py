@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -62,20 +60,19 @@ def _route_token(c: Column) -> Column:
 
 
 @F.pandas_udf(T.LongType())
-def _fnv1a_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        codes, distinct = pd.factorize(batch.astype(object))
-        texts = [str(v).encode("utf-8") for v in distinct]
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        width = int(sizes.max()) if len(texts) else 0
-        padded = np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), dtype=np.uint8)
-        padded = padded.reshape(len(texts), width)
-        hashes = np.full(len(texts), _FNV_START, dtype=np.uint64)
-        for position in range(width):
-            mixed = ((hashes ^ padded[:, position]) * _FNV_PRIME) & _FNV_MASK
-            hashes = np.where(position < sizes, mixed, hashes)
-        values = hashes.astype(np.int64)
-        yield pd.Series([None if c < 0 else int(values[c]) for c in codes], dtype=object)
+def _fnv1a_udf(batch: pd.Series) -> pd.Series:
+    codes, distinct = pd.factorize(batch.astype(object))
+    texts = [str(v).encode("utf-8") for v in distinct]
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    width = int(sizes.max()) if len(texts) else 0
+    padded = np.frombuffer(b"".join(t.ljust(width, b"\0") for t in texts), dtype=np.uint8)
+    padded = padded.reshape(len(texts), width)
+    hashes = np.full(len(texts), _FNV_START, dtype=np.uint64)
+    for position in range(width):
+        mixed = ((hashes ^ padded[:, position]) * _FNV_PRIME) & _FNV_MASK
+        hashes = np.where(position < sizes, mixed, hashes)
+    values = hashes.astype(np.int64)
+    return pd.Series([None if c < 0 else int(values[c]) for c in codes], dtype=object)
 
 
 def fnv1a_32(c: Column) -> Column:

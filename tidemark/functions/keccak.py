@@ -7,8 +7,6 @@ contract address hashes it once and no shuffle or join is needed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -94,12 +92,12 @@ def checksum_batch(addresses: list[str]) -> list[str]:
 
 
 @F.pandas_udf(T.StringType())
-def _checksum_udf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in batches:
-        values = batch.astype(object)
-        distinct = values.dropna().unique().tolist()
-        forms = dict(zip(distinct, checksum_batch(distinct)))
-        yield pd.Series([forms.get(v) for v in values], dtype=object)
+def _checksum_udf(batch: pd.Series) -> pd.Series:
+    # A plain (not iterator) function: Spark then runs several of them in one pass.
+    values = batch.astype(object)
+    distinct = values.dropna().unique().tolist()
+    forms = dict(zip(distinct, checksum_batch(distinct)))
+    return pd.Series([forms.get(v) for v in values], dtype=object)
 
 
 def checksum_address(c: Column) -> Column:

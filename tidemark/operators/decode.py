@@ -13,7 +13,7 @@ from tidemark.functions import checks, identity
 from tidemark.operators.dedup import keep_latest
 
 _PAYLOAD = "struct<signals:array<struct<name:string,timestamp:string,value:string>>>"
-_TYPED = "array<struct<timestamp:timestamp,name:string,pos:int,value:double,fault:string>>"
+_TYPED = "array<struct<timestamp:timestamp,name:string,pos:int,value:double>>"
 _LOCATION = "struct<lat:double,lon:double,hdop:double>"
 
 _decoders: dict[str, Callable[[DataFrame], DataFrame]] = {}
@@ -45,31 +45,29 @@ def decode_default(raw: DataFrame) -> DataFrame:
     """Add ``signals`` (good elements) and ``decode_errors`` (reasons of the others)."""
 
     def typed(x: Column, i: Column) -> Column:
-        timestamp, value = x["timestamp"].try_cast("timestamp"), x["value"].try_cast("double")
-        fault = (
-            F.when(checks.is_blank(x["name"]), F.lit("missing_name"))
-            .when(timestamp.isNull(), F.lit("bad_timestamp"))
-            .when(value.isNull(), F.lit("bad_value"))
-        )
         return F.struct(
-            timestamp.alias("timestamp"), x["name"].alias("name"), i.alias("pos"), value.alias("value"), fault.alias("fault")
+            x["timestamp"].try_cast("timestamp").alias("timestamp"),
+            x["name"].alias("name"),
+            i.alias("pos"),
+            x["value"].try_cast("double").alias("value"),
         )
 
-    def bare(t: Column) -> Column:
-        return F.struct(*[t[n].alias(n) for n in ("timestamp", "name", "pos", "value")])
+    def fault(t: Column) -> Column:
+        return (
+            F.when(checks.is_blank(t["name"]), F.lit("missing_name"))
+            .when(t["timestamp"].isNull(), F.lit("bad_timestamp"))
+            .when(t["value"].isNull(), F.lit("bad_value"))
+        )
+
+    def good(t: Column) -> Column:
+        return (t["name"] != "") & t["timestamp"].isNotNull() & t["value"].isNotNull()
 
     elements = F.from_json("data", _PAYLOAD)["signals"]
     none = F.array().cast(_TYPED)
+    faults = F.filter(F.transform("_t", fault), lambda r: r.isNotNull())
     return (
         raw.withColumn("_t", F.coalesce(F.transform(elements, typed), none))
-        .withColumns(
-            {
-                "signals": F.transform(F.filter("_t", lambda t: t["fault"].isNull()), bare),
-                "decode_errors": F.transform(
-                    F.filter("_t", lambda t: t["fault"].isNotNull()), lambda t: t["fault"]
-                ),
-            }
-        )
+        .withColumns({"signals": F.filter("_t", good), "decode_errors": faults})
         .drop("_t")
     )
 
@@ -125,8 +123,8 @@ def prune_long(signals: DataFrame, as_of: Column, event: str = "event_key") -> D
     return kept.where(~checks.is_future(F.col("timestamp"), as_of))
 
 
-def _is(x: Column, name: str) -> Column:
-    return x["name"] == name
+_PARTS = (fv.SIGNAL_LATITUDE, fv.SIGNAL_LONGITUDE, fv.SIGNAL_HDOP)
+_LAT, _LON, _HDOP = 0, 1, 2
 
 
 def _coordinate_fold(signals: Column) -> Column:
@@ -134,17 +132,20 @@ def _coordinate_fold(signals: Column) -> Column:
 
     The open triple is held in the accumulator and closed when a signal is 500 ms or
     more after its first member, when a part arrives a second time, and at the end.
+    Parts are reduced to (micros, kind, value) first, which keeps each step cheap.
     """
-    parts = F.filter(
-        signals, lambda x: x["name"].isin(fv.SIGNAL_LATITUDE, fv.SIGNAL_LONGITUDE, fv.SIGNAL_HDOP)
+    kind = lambda x: F.when(x["name"] == _PARTS[_LAT], _LAT).when(x["name"] == _PARTS[_LON], _LON).otherwise(_HDOP)
+    parts = F.transform(
+        F.filter(signals, lambda x: x["name"].isin(*_PARTS)),
+        lambda x: F.struct(F.unix_micros(x["timestamp"]).alias("us"), kind(x).alias("kind"), x["value"].alias("value")),
     )
     none = F.lit(None).cast("double")
     start = F.struct(
         none.alias("lat"),
         none.alias("lon"),
         none.alias("hdop"),
-        F.lit(None).cast("timestamp").alias("first"),
-        F.array().cast(f"array<struct<timestamp:timestamp,location:{_LOCATION}>>").alias("created"),
+        F.lit(None).cast("long").alias("first"),
+        F.array().cast(f"array<struct<us:bigint,location:{_LOCATION}>>").alias("created"),
         F.array().cast("array<string>").alias("errors"),
     )
 
@@ -154,7 +155,7 @@ def _coordinate_fold(signals: Column) -> Column:
         location = F.struct(
             acc["lat"].alias("lat"), acc["lon"].alias("lon"), F.coalesce(acc["hdop"], F.lit(0.0)).alias("hdop")
         )
-        made = F.array(F.struct(acc["first"].alias("timestamp"), location.alias("location")))
+        made = F.array(F.struct(acc["first"].alias("us"), location.alias("location")))
         created = F.when(usable, F.concat(acc["created"], made)).otherwise(acc["created"])
         fault = (
             F.when(pair & ~usable, F.lit("invalid_coordinate"))
@@ -165,23 +166,19 @@ def _coordinate_fold(signals: Column) -> Column:
         return created, errors
 
     def step(acc: Column, x: Column) -> Column:
-        late = F.unix_micros(x["timestamp"]) - F.unix_micros(acc["first"]) >= fv.COORDINATE_WINDOW_MICROS
-        repeated = (
-            (_is(x, fv.SIGNAL_LATITUDE) & acc["lat"].isNotNull())
-            | (_is(x, fv.SIGNAL_LONGITUDE) & acc["lon"].isNotNull())
-            | (_is(x, fv.SIGNAL_HDOP) & acc["hdop"].isNotNull())
-        )
-        close = acc["first"].isNotNull() & (late | repeated)
+        held = F.when(x["kind"] == _LAT, acc["lat"]).when(x["kind"] == _LON, acc["lon"]).otherwise(acc["hdop"])
+        late = x["us"] - acc["first"] >= fv.COORDINATE_WINDOW_MICROS
+        close = acc["first"].isNotNull() & (late | held.isNotNull())
         created, errors = closed(acc)
 
-        def part(field: str, name: str) -> Column:
-            return F.when(_is(x, name), x["value"]).when(~close, acc[field]).alias(field)
+        def part(field: str, kind: int) -> Column:
+            return F.when(x["kind"] == kind, x["value"]).when(~close, acc[field]).alias(field)
 
         return F.struct(
-            part("lat", fv.SIGNAL_LATITUDE),
-            part("lon", fv.SIGNAL_LONGITUDE),
-            part("hdop", fv.SIGNAL_HDOP),
-            F.when(close | acc["first"].isNull(), x["timestamp"]).otherwise(acc["first"]).alias("first"),
+            part("lat", _LAT),
+            part("lon", _LON),
+            part("hdop", _HDOP),
+            F.when(close | acc["first"].isNull(), x["us"]).otherwise(acc["first"]).alias("first"),
             F.when(close, created).otherwise(acc["created"]).alias("created"),
             F.when(close, errors).otherwise(acc["errors"]).alias("errors"),
         )
@@ -199,10 +196,7 @@ def merge_coordinates(pruned: DataFrame) -> DataFrame:
     After this step ``signals`` holds struct(name, timestamp, value, location).
     """
     shaped = F.transform(
-        F.filter(
-            "signals",
-            lambda x: ~x["name"].isin(fv.SIGNAL_LATITUDE, fv.SIGNAL_LONGITUDE, fv.SIGNAL_HDOP),
-        ),
+        F.filter("signals", lambda x: ~x["name"].isin(*_PARTS)),
         lambda x: F.struct(
             x["name"].alias("name"),
             x["timestamp"].alias("timestamp"),
@@ -214,7 +208,7 @@ def merge_coordinates(pruned: DataFrame) -> DataFrame:
         F.col("_fold.created"),
         lambda c: F.struct(
             F.lit(fv.SIGNAL_LOCATION).alias("name"),
-            c["timestamp"].alias("timestamp"),
+            F.timestamp_micros(c["us"]).alias("timestamp"),
             F.lit(None).cast("double").alias("value"),
             c["location"].alias("location"),
         ),
