@@ -257,13 +257,17 @@ def test_list_objects_hides_dot_files_and_missing_prefix(spark, tmp_path):
     assert files.list_objects(spark, str(tmp_path)).count() == 3
 
 
-def test_append_decoded_inserts_once(spark, tmp_path):
-    target = str(tmp_path / "decoded")
-    new = spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("b", 2, "y")], "dedup_id string, v int, lane string")
-    lake.append_decoded(new, target, ["dedup_id"], "lane")
-    more = spark.createDataFrame([("b", 2, "y"), ("c", 3, "y")], "dedup_id string, v int, lane string")
-    lake.append_decoded(more, target, ["dedup_id"], "lane")
-    assert sorted(r.dedup_id for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
+def test_append_decoded_inserts_once(spark, tmp_path, monkeypatch):
+    schema = "dedup_id string, v int, lane string, d date"
+    d1, d2 = T0.date(), (T0 + timedelta(days=1)).date()
+    for i, listed in enumerate((1000, 0)):
+        monkeypatch.setattr(lake, "MAX_LISTED_DATES", listed)
+        target = str(tmp_path / f"decoded{i}")
+        new = spark.createDataFrame([("a", 1, "x", d1), ("a", 1, "x", d1), ("b", 2, "y", d2)], schema)
+        lake.append_decoded(new, target, ["dedup_id"], "d", ("lane",))
+        more = spark.createDataFrame([("b", 2, "y", d2), ("c", 3, "y", d1)], schema)
+        lake.append_decoded(more, target, ["dedup_id"], "d", ("lane",))
+        assert sorted(r.dedup_id for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
 
 
 def test_merge_group_limit(spark):

@@ -641,6 +641,17 @@ def payload_lengths(spark, d):
     )
 
 
+@query(
+    "valid_base64",
+    "SELECT doc_id, doc_id % 13 <> 0 AS decodable FROM documents",
+)
+def valid_base64(spark, d):
+    doc = load(spark, d, "documents")
+    encoded = F.translate(F.base64(F.encode("text", "UTF-8")), "\r\n", "")
+    broken = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit("!"), encoded)).otherwise(encoded)
+    return doc.select("doc_id", checks.valid_base64(broken).alias("decodable"))
+
+
 @query(
     "valid_lat_lon",
     """SELECT event_id, abs(value - 100) <= 90 AND abs(value * 2 - 300) <= 180 AND NOT (value = 100 AND value * 2 = 300) AS usable FROM events""",

@@ -7,12 +7,15 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.catalog.common import RAW, millis, oracle, raw_events
+from tidemark import schemas
+from tidemark.catalog.common import DID, RAW, SOURCE, adapt, millis, oracle, progress_log, raw_events
 from tidemark.operators import reports
 from tidemark.operators.files import list_objects
 from tidemark.plans import maintenance
-from tidemark.plans.lake import RawEventTable
+from tidemark.plans.lake import RawEventTable, with_partition_columns
 from tidemark.session import scratch_path
+from tidemark.sources.tables import read_event_stream
+from tidemark.streaming import jobs
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -131,3 +134,67 @@ def table_files(spark, d):
     table = new_table(spark)
     table.append(complete(raw_events(spark, d)), AT)
     return table.live_files().select("path", "type", "year", "month", "day", "bytes", "rows")
+
+
+@query(
+    "relayout_unsorted",
+    f"WITH {R} SELECT count(*) AS row_count, CAST(0 AS BIGINT) AS unsorted_rows, CAST(0 AS BIGINT) AS misplaced_rows FROM raw",
+)
+def relayout_unsorted(spark, d):
+    """Rows written against the sort order, then repaired."""
+    table = new_table(spark)
+    rows = complete(raw_events(spark, d)).withColumn("snapshot_id", F.lit(1).cast("long"))
+    rows = with_partition_columns(rows.select(*schemas.RAW_EVENT_COLUMNS, "snapshot_id", "ingest_time"))
+    path = f"{table.data}/commit=1"
+    arranged = rows.repartition("type").sortWithinPartitions(F.desc("subject"), F.desc("time"))
+    arranged.write.partitionBy(*schemas.PARTITION_COLUMNS).parquet(path)
+    written = table.inventory(path)
+    total = written.agg(F.sum("rows")).first()[0]
+    table.record(written, table.snapshot_row(1, AT, "append", total), 1)
+    maintenance.relayout(table, AT)
+    audit = reports.layout_audit(table.stored())
+    return audit.agg(*[F.sum(c).alias(c) for c in ("row_count", "unsorted_rows", "misplaced_rows")])
+
+
+@query(
+    "maintenance_cycle",
+    """SELECT * FROM (VALUES ('health', 'done'), ('expire_cutoff', 'done'), ('rewrite_delete_heavy', 'done'), ('compact', 'done'),
+  ('expire_snapshots', 'done'), ('cleanup_files', 'done'), ('sweep_orphans', 'done')) v(step, outcome)""",
+)
+def maintenance_cycle(spark, d):
+    """One whole pass over a table of three snapshots."""
+    table = _three_snapshots(spark, d)
+    report, _ = maintenance.maintenance_cycle(table, progress_log(spark, d), AT)
+    return report.select("step", "outcome")
+
+
+MESSAGES = f"""
+SELECT concat('{{"id":"', CAST(event_id AS STRING), '","subject":"{DID}', CAST(event_id % 150 AS STRING),
+              '","producer":"{DID}', CAST(event_id % 150 + 1000 AS STRING), '","source":"{SOURCE}","type":"',
+              CASE WHEN event_id % 31 = 0 THEN 'other.type' ELSE '{fv.TYPE_STATUS}' END,
+              '","time":"', ISO(ts), '","data":', CASE WHEN event_id % 37 = 0 THEN '{{' ELSE props END, '}}') AS value,
+       ts AS ingest_time, event_id
+FROM {{events}}
+"""
+
+
+@query(
+    "stream_ingest",
+    """SELECT CAST(event_id AS VARCHAR) AS id, epoch_ms(date_trunc('millisecond', ts)) AS time_ms, replace(props, ' ', '') AS data
+FROM events WHERE event_id % 31 <> 0 AND event_id % 37 <> 0""",
+)
+def stream_ingest(spark, d):
+    """The given events as a stream of message files, every seventh sent twice, through
+    parse, validation, arrival deduplication and the table."""
+    messages = adapt(spark, d, MESSAGES, ("ingest_time",))
+    again = messages.where("event_id % 7 = 0").withColumn("ingest_time", F.expr("ingest_time + INTERVAL '30' SECOND"))
+    headers = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    source = scratch_path(spark, "messages")
+    sent = messages.unionByName(again).select("value", headers.alias("headers"), "ingest_time")
+    # Files in arrival order: several per trigger, several triggers.
+    sent.repartitionByRange(4, "ingest_time").write.parquet(source)
+    table = new_table(spark)
+    stream = read_event_stream(spark, source, 2)
+    query = jobs.ingest_query(stream, table, scratch_path(spark, "checkpoint"), trigger={"availableNow": True}, dedup_window="40 days")
+    query.awaitTermination()
+    return table.read().select("id", millis("time"), "data")

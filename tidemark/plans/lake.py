@@ -277,14 +277,25 @@ def quarantine(rejects: DataFrame, path: str, mode: str = "append", reason: str
     flat.withColumn("reject_class", reject_class(reason)).write.mode(mode).partitionBy(reason).parquet(path)
 
 
-def append_decoded(new: DataFrame, path: str, keys: list[str], date_column: str) -> None:
-    """Insert only unseen rows, comparing against the target's matching dates only."""
+# Dates of a batch are handed to the scan as a list up to this many, else as a range.
+MAX_LISTED_DATES = 1000
+
+
+def append_decoded(new: DataFrame, path: str, keys: list[str], date_column: str, lanes: tuple[str, ...] = ()) -> None:
+    """Insert only unseen rows. The target is partitioned by ``lanes`` and the date, and
+    only the dates present in ``new`` are read back for the comparison."""
     spark = new.sparkSession
+    new = settle(new)
+    found = new.select(date_column).distinct().limit(MAX_LISTED_DATES + 1).collect()
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         target = spark.read.schema(new.schema).parquet(path)
-        dates = new.select(date_column).distinct()
-        fresh = settle(unseen_rows(new, target.join(dates, date_column, "left_semi"), keys))
+        if len(found) <= MAX_LISTED_DATES:
+            seen = target.where(F.col(date_column).isin([r[0] for r in found]))
+        else:
+            bounds = [new.agg(f(date_column)).scalar() for f in (F.min, F.max)]
+            seen = target.where(F.col(date_column).between(*bounds))
+        fresh = settle(unseen_rows(new, seen, keys))
     else:
         fresh = unseen_rows(new, new.limit(0), keys)
-    fresh.write.mode("append").partitionBy(date_column).parquet(path)
+    fresh.write.mode("append").partitionBy(*lanes, date_column).parquet(path)

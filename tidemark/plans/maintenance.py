@@ -7,13 +7,14 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark import schemas
 from tidemark.functions.text import one_slash, storage_path
 from tidemark.operators import consumers, files, reports
+from tidemark.operators.ordered import running_stats
 from tidemark.plans.lake import RawEventTable, write_options
 from tidemark.session import settle
 from tidemark.sources.tables import read_bundles
@@ -161,51 +162,48 @@ def backfill(
     ``listed`` has ``path``. Each batch of at most ``cap`` files of one prefix is its
     own snapshot, all written by one job. Returns registered and skipped counts.
     """
-    spark = table.spark
-    schema = "path string, snapshot_id bigint"
-    known = table._log("backfilled", schema)
+    known = table._log("backfilled", "path string, snapshot_id bigint")
     parquet = listed.where(F.col("path").endswith(".parquet")).select("path").distinct()
-    # Planned per job of at most FILES_PER_JOB files; later files follow in the next job.
-    registered = 0
-    skipped = parquet.count()
-    while True:
-        fresh = files.new_files(parquet, known)
-        batch = settle(files.registration_batches(fresh, cap).orderBy("path").limit(FILES_PER_JOB))
-        paths = _paths(batch, F.col("path"))
-        if not paths:
-            break
-        base = table.head()
-        order = Window.orderBy("prefix", "batch")
-        numbers = (
-            batch.select("prefix", "batch").distinct().withColumn("snapshot_id", base + F.row_number().over(order))
-        )
-        placed = settle(batch.join(F.broadcast(numbers), ["prefix", "batch"]).select("path", "snapshot_id"))
-        # The reader reports a file with its scheme; match on the bare path.
-        bare = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
-        rows = (
-            read_bundles(spark, paths)
-            .withColumn("_path", bare(storage_path(F.col("path"))))
-            .drop("path")
-            .join(F.broadcast(placed.select(bare(F.col("path")).alias("_path"), "snapshot_id")), "_path")
-            .drop("_path")
-            .withColumn("ingest_time", _ts(as_of))
-        )
-        last = placed.agg(F.max("snapshot_id")).first()[0]
-        written = table.write_files(rows.withColumn("snapshot_id", F.col("snapshot_id").cast("long")), last, "range", **options)
-        per_snapshot = rows.groupBy("snapshot_id").agg(F.count("*").alias("rows"))
-        snapshots = placed.select("snapshot_id").distinct().join(per_snapshot, "snapshot_id", "left").select(
-            F.col("snapshot_id").cast("long"),
-            _ts(as_of).alias("snapshot_time"),
-            F.lit(last).cast("long").alias("commit"),
-            F.lit("backfill").alias("kind"),
-            F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-            F.lit(None).cast("string").alias("batch"),
-        )
-        table.record(written, snapshots, last)
-        table._append_log("backfilled", placed.select("path", F.col("snapshot_id").cast("long")))
-        registered += len(paths)
-        known = table._log("backfilled", schema)
-    return {"registered": registered, "skipped": skipped - registered}
+    # Files are numbered once; batches are then dealt to jobs of about FILES_PER_JOB.
+    plan = settle(files.registration_batches(files.new_files(parquet, known), cap))
+    sizes = plan.groupBy("prefix", "batch").agg(F.count("*").alias("files"))
+    numbered = running_stats(sizes, [], ["prefix", "batch"], number="number", running={"upto": "files"})
+    job = F.floor((F.col("upto") - F.col("files")) / FILES_PER_JOB).cast("long")
+    base = table.head()
+    batches = settle(numbered.select("prefix", "batch", job.alias("job"), (F.col("number") + base).alias("snapshot_id")))
+    placed = settle(plan.join(batches, ["prefix", "batch"]).select("path", "job", "snapshot_id"))
+    total, n_jobs = placed.agg(F.count("*"), F.max("job") + 1).first()
+    for number in range(n_jobs or 0):
+        _backfill_job(table, placed.where(F.col("job") == number), as_of, options)
+    return {"registered": total, "skipped": parquet.count() - total}
+
+
+def _backfill_job(table: RawEventTable, placed: DataFrame, as_of: datetime, options: dict) -> None:
+    """One write for the files of one job; bounded by FILES_PER_JOB plus one batch."""
+    paths = [r[0] for r in placed.select("path").collect()]
+    # The reader reports a file with its scheme; match on the bare path.
+    bare = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
+    rows = (
+        read_bundles(table.spark, paths)
+        .withColumn("_path", bare(storage_path(F.col("path"))))
+        .drop("path")
+        .join(F.broadcast(placed.select(bare(F.col("path")).alias("_path"), "snapshot_id")), "_path")
+        .drop("_path")
+        .withColumn("ingest_time", _ts(as_of))
+    )
+    last = placed.agg(F.max("snapshot_id")).first()[0]
+    written = table.write_files(rows, last, "range", **options)
+    per_snapshot = rows.groupBy("snapshot_id").agg(F.count("*").alias("rows"))
+    snapshots = placed.select("snapshot_id").distinct().join(per_snapshot, "snapshot_id", "left").select(
+        "snapshot_id",
+        _ts(as_of).alias("snapshot_time"),
+        F.lit(last).cast("long").alias("commit"),
+        F.lit("backfill").alias("kind"),
+        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.lit(None).cast("string").alias("batch"),
+    )
+    table.record(written, snapshots, last)
+    table._append_log("backfilled", placed.select("path", "snapshot_id"))
 
 
 # ---- expiry and clean-up ----------------------------------------------------

@@ -92,6 +92,12 @@ def blobs_of(table: RawEventTable) -> DataFrame:
     return table.spark.read.schema("data_index_key string, payload binary, batch string").parquet(f"{table.root}/blobs")
 
 
+def append_lanes(packed: DataFrame, target: str) -> None:
+    """One lane per name token, below it one folder per event date."""
+    dated = packed.withColumn("event_date", F.to_date("header.time"))
+    append_decoded(dated, target, ["dedup_id"], "event_date", ("name_token",))
+
+
 def decode_query(
     raw_rows: DataFrame,
     target: str,
@@ -106,7 +112,7 @@ def decode_query(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         packed = decode.decode_packed(batch, chain, contract, F.col("ingest_time"))
-        append_decoded(packed, target, ["dedup_id"], "name_token")
+        append_lanes(packed, target)
 
     return (
         raw_rows.writeStream.foreachBatch(write)
@@ -123,7 +129,7 @@ def decode_events_query(
     """The same for vehicle events."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_decoded(decode.decode_packed_events(batch), target, ["dedup_id"], "name_token")
+        append_lanes(decode.decode_packed_events(batch), target)
 
     return (
         raw_rows.writeStream.foreachBatch(write)
