@@ -62,16 +62,17 @@ def write_and_read_table(spark, d):
 
 
 def _three_snapshots(spark, d):
+    """All events in three snapshots that each touch every partition."""
     table = new_table(spark)
     rows = complete(raw_events(spark, d))
-    for low, high in [(0, 30), (30, 60), (60, 1 << 40)]:
-        table.append(rows.where((F.col("snapshot_id") >= low) & (F.col("snapshot_id") < high)), AT)
+    for part in range(3):
+        table.append(rows.where(F.col("id").cast("long") % 3 == part), AT)
     return table
 
 
 @query(
     "changes_after_compaction",
-    f"WITH {R} SELECT id, CAST(CASE WHEN snapshot_id < 60 THEN 2 ELSE 3 END AS BIGINT) AS snapshot_id FROM raw WHERE snapshot_id >= 30",
+    f"WITH {R} SELECT id, CAST(CAST(id AS BIGINT) % 3 + 1 AS BIGINT) AS snapshot_id FROM raw WHERE CAST(id AS BIGINT) % 3 > 0",
 )
 def changes_after_compaction(spark, d):
     table = _three_snapshots(spark, d)
@@ -79,13 +80,25 @@ def changes_after_compaction(spark, d):
     return table.changes(2, 3).select("id", "snapshot_id")
 
 
-@query("time_travel_after_compaction", f"WITH {R} SELECT id, subject FROM raw WHERE snapshot_id < 60")
+@query("time_travel_after_compaction", f"WITH {R} SELECT id, subject FROM raw WHERE CAST(id AS BIGINT) % 3 < 2")
 def time_travel_after_compaction(spark, d):
     table = _three_snapshots(spark, d)
     maintenance.compact(table, AT)
     return table.as_of(2).select("id", "subject")
 
 
+@query(
+    "compacted_files",
+    f"WITH {R} SELECT type, CAST(CAST(time AS DATE) AS VARCHAR) AS day, CAST(1 AS BIGINT) AS files, count(*) AS events FROM raw GROUP BY ALL",
+)
+def compacted_files(spark, d):
+    """Every partition ends as one file that holds all its rows."""
+    table = _three_snapshots(spark, d)
+    maintenance.compact(table, AT)
+    day = F.make_date("year", "month", "day").cast("string").alias("day")
+    return table.live_files().groupBy("type", day).agg(F.count("*").alias("files"), F.sum("rows").alias("events"))
+
+
 @query(
     "rewrite_delete_heavy",
     f"WITH {R} SELECT id FROM raw WHERE NOT (CAST(id AS BIGINT) % 5 < 3 AND type IN ('{fv.TYPE_STATUS}', '{fv.TYPE_EVENTS}'))",
