@@ -84,7 +84,7 @@ def test_uncommitted_files_are_invisible_and_become_orphans(spark, table):
 
 def test_special_characters_in_types_survive_maintenance(spark, table):
     for i in range(2):
-        table.append(events(spark, start=100 * i, type="dimo.raw.a b:c+d/e%"), T0)
+        table.append(events(spark, start=100 * i, type="raw.a b:c+d/e%"), T0)
     later = datetime.now() + timedelta(days=30)
     assert maintenance.orphan_candidates(table, later).count() == 0
     assert maintenance.compact(table, later) == 3

@@ -56,7 +56,7 @@ WHERE type = '{fv.TYPE_TOMBSTONE}' AND time >= TIMESTAMP '2024-01-03 00:00:00' A
 )
 def write_and_read_table(spark, d):
     table = new_table(spark)
-    table.append(complete(raw_events(spark, d)), AT)
+    table.append(complete(raw_events(spark, d)), AT, layout="range")
     rows = table.read(fv.TYPE_TOMBSTONE, datetime(2024, 1, 3), datetime(2024, 1, 25, 12))
     return rows.select("id", "subject", millis("time"), "data", F.coalesce("voids_id", F.lit("")).alias("voids_id"))
 
@@ -66,7 +66,7 @@ def _three_snapshots(spark, d):
     table = new_table(spark)
     rows = complete(raw_events(spark, d))
     for part in range(3):
-        table.append(rows.where(F.col("id").cast("long") % 3 == part), AT)
+        table.append(rows.where(F.col("id").cast("long") % 3 == part), AT, layout="range")
     return table
 
 
@@ -105,7 +105,7 @@ def compacted_files(spark, d):
 )
 def rewrite_delete_heavy(spark, d):
     table = new_table(spark)
-    table.append(complete(raw_events(spark, d)), AT)
+    table.append(complete(raw_events(spark, d)), AT, layout="range")
     doomed = (F.col("id").cast("long") % 5 < 3) & F.col("type").isin(fv.TYPE_STATUS, fv.TYPE_EVENTS)
     table.delete_rows(table.stored().where(doomed), AT)
     maintenance.rewrite_delete_heavy(table, AT, 0.5)
@@ -136,7 +136,7 @@ def backfill_bundles(spark, d):
 )
 def layout_audit(spark, d):
     table = new_table(spark)
-    table.append(complete(raw_events(spark, d)), AT)
+    table.append(complete(raw_events(spark, d)), AT, layout="range")
     audit = reports.layout_audit(table.stored())
     return audit.agg(*[F.sum(c).alias(c) for c in ("row_count", "unsorted_rows", "misplaced_rows")])
 
@@ -145,7 +145,7 @@ def layout_audit(spark, d):
 def table_files(spark, d):
     """The file inventory of a written table: partition, size, rows."""
     table = new_table(spark)
-    table.append(complete(raw_events(spark, d)), AT)
+    table.append(complete(raw_events(spark, d)), AT, layout="range")
     return table.live_files().select("path", "type", "year", "month", "day", "bytes", "rows")
 
 
