@@ -1,8 +1,9 @@
 """Headline queries at one scale; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores. Every query is run once to
-warm up and then timed; the value is the sum of the timed runs. Results go to a sink
-that reads every row and keeps none.
+warm up and then timed, except the last ones, which write whole tables and are run once;
+the value is the sum of the timed runs. Results go to a sink that reads every row and
+keeps none.
 """
 
 from __future__ import annotations
@@ -52,6 +53,9 @@ HEADLINE = [
 ]
 
 
+RUN_ONCE = {"write_and_read_table", "changes_after_compaction", "backfill_bundles"}
+
+
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
@@ -61,7 +65,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     events = spark.read.parquet(f"{directory}/events.parquet").count()
     for name in names:
-        for _ in range(2):
+        for _ in range(1 if name in RUN_ONCE else 2):
             started = time.perf_counter()
             queries[name](spark, directory).write.format("noop").mode("overwrite").save()
             timings[name] = round(time.perf_counter() - started, 3)
