@@ -1,6 +1,7 @@
 """Streaming jobs with ``availableNow``: ingest, restart, decode, throttle."""
 
 import json
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -120,7 +121,9 @@ def test_throttle_stream(spark, tmp_path):
         .option("checkpointLocation", str(tmp_path / "cp")).start()
     )
     try:
-        query.processAllAvailable()
+        deadline = time.time() + 90
+        while time.time() < deadline and spark.sql("SELECT * FROM limited").count() < 6:
+            time.sleep(1)
     finally:
         query.stop()
     got = {(r["key"], r.emitted_ms) for r in spark.sql("SELECT * FROM limited").collect()}
