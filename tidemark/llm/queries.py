@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["sharding"]
+MODULES = ["sharding", "token_counts"]
 
 
 def _modules():
