@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["sharding", "token_counts", "matroska", "warc"]
+MODULES = ["sharding", "token_counts", "matroska", "warc", "decontamination"]
 
 
 def _modules():
