@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["sharding", "token_counts", "matroska", "warc", "decontamination"]
+MODULES = ["sharding", "token_counts", "matroska", "warc", "packing", "decontamination"]
 
 
 def _modules():
