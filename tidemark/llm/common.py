@@ -73,3 +73,50 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(29))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+# ---- words of many texts at once
+
+_GOLD = 0x9E3779B97F4A7C15
+_STEP = np.uint64(0xD1342543DE82EF95)
+_STEP_INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
+_BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_GOLD))
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+CHUNK_BYTES = 2 << 20
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_STEP, _STEP_INVERSE)):
+            steps = np.full(n, base)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of all texts, one after the other,
+    and the place in them at which each text begins (one more entry at the end)."""
+    sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
+    data = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
+    blank = (data == 32) | ((data >= 9) & (data <= 13))
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    powers, inverse = _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUE[data] * powers, out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+    begins = np.concatenate([[0], np.cumsum(sizes)]) + 1
+    return hashes, np.searchsorted(starts, begins)
+
+
+def chunks_of_bytes(texts: list[bytes], limit: int = CHUNK_BYTES):
+    """Ranges of texts of about ``limit`` bytes together; a longer text is a range of its own."""
+    first = held = 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > limit:
+            yield first, i
+            first, held = i, 0
+        held += len(text)
+    if first < len(texts):
+        yield first, len(texts)

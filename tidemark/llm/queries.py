@@ -4,7 +4,16 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["sharding", "token_counts", "matroska", "warc", "packing", "decontamination"]
+MODULES = [
+    "sharding",
+    "token_counts",
+    "matroska",
+    "warc",
+    "packing",
+    "decontamination",
+    "language_id",
+    "near_duplicates",
+]
 
 
 def _modules():
