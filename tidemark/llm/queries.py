@@ -13,6 +13,7 @@ MODULES = [
     "decontamination",
     "language_id",
     "near_duplicates",
+    "suffix_array",
 ]
 
 
