@@ -14,6 +14,7 @@ MODULES = [
     "language_id",
     "near_duplicates",
     "suffix_array",
+    "language_model",
 ]
 
 
