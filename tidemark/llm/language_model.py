@@ -1,6 +1,6 @@
 """Text scores by a probabilistic suffix tree over bytes, and by word counts.
 
-Training counts every byte with the up to five bytes before it, over all training texts. A
+Training counts every byte with the up to seven bytes before it, over all training texts. A
 context is kept if it is frequent enough and its next-byte distribution differs from that
 of the next shorter context by a divergence test; distributions are smoothed with those of
 shorter contexts. For scoring the tree becomes an automaton whose state is the longest kept
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import arrow_schema, chunks_of_bytes, load, word_hashes, written
 
 FOLDS, HELD_OUT = 7, 2
-DEPTH = 5  # longest context in bytes
+DEPTH = 7  # longest context in bytes: eight bytes make one number
 # A context needs this share of all bytes: at most 1 / FREQUENT contexts of each length.
-FREQUENT = 2e-5
+FREQUENT = 1e-5
 COMMON = 2e-6
 END = 10  # the byte that ends a text and, repeated, stands before it; no word holds it
 LANES = 2048
