@@ -160,32 +160,26 @@ def find_passages(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    prefix: str = "",
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (runs of hit words: first and last word,
     first byte and byte after the last, in the UTF-8 text) and ``hit_items`` (sorted ids).
-    Columns of these names in ``docs`` are replaced.
+    ``prefix`` goes before these names; columns so named in ``docs`` are replaced.
 
     A window is ``window`` consecutive words of an item, or all words of a shorter one;
     items without words have none. Null and empty texts have no words. Items are told apart
     by id; a null id counts as the id ``null``.
     """
     spark = docs.sparkSession
-    out = docs.drop("n_words", "hit_spans", "hit_items")
-    fields = [f for f in out.schema.fields]
-    schema = T.StructType(
-        [
-            *fields,
-            T.StructField("n_words", T.LongType()),
-            T.StructField("hit_spans", T._parse_datatype_string(SPANS)),
-            T.StructField("hit_items", T.ArrayType(T.StringType())),
-        ]
-    )
+    n_words, hit_spans, hit_items = (prefix + name for name in ("n_words", "hit_spans", "hit_items"))
+    out = docs.drop(n_words, hit_spans, hit_items)
     out = out.select(
         *out.columns,
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(SPANS).alias("hit_spans"),
-        F.array().cast("array<string>").alias("hit_items"),
+        F.lit(0).cast("long").alias(n_words),
+        F.array().cast(SPANS).alias(hit_spans),
+        F.array().cast("array<string>").alias(hit_items),
     )
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema.fields])
     for block in item_blocks(benchmark, block_bytes, item_id_col, item_text_col):
         out = out.mapInArrow(_matcher(spark.sparkContext.broadcast(block), window, text_col), schema)
     return out
@@ -203,7 +197,7 @@ def _matcher(block, window: int, text_col: str):
         automaton = _AUTOMATA[key]
         for batch in batches:
             counts, spans, items = [], [], []
-            earlier = zip(batch["hit_spans"].to_pylist(), batch["hit_items"].to_pylist())
+            earlier = zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())
             for text, (old_spans, old_items) in zip(batch[text_col].to_pylist(), earlier):
                 raw = (text or "").encode().translate(WORD_BYTES)
                 sequence = raw.split()
@@ -213,9 +207,8 @@ def _matcher(block, window: int, text_col: str):
                     runs = joined([*runs, *([s["first"], s["last"]] for s in old_spans)])
                 spans.append(located(raw, runs) if runs else old_spans)
                 items.append(sorted(keys | set(old_items)))
-            arrays = [*batch.columns[:-3], pa.array(counts, batch.schema.field("n_words").type)]
-            arrays += [pa.array(spans, batch.schema.field("hit_spans").type), pa.array(items, batch.schema.field("hit_items").type)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+            found = [pa.array(c, f.type) for c, f in zip((counts, spans, items), [batch.schema.field(i) for i in range(batch.num_columns - 3, batch.num_columns)])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *found], schema=batch.schema)
 
     return run
 
@@ -245,10 +238,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, max_coverage: float = 0
     of the words are hit are removed; in the others, runs of more than ``max_run`` hit words
     are cut out of the text. With the limits at 0 every document with a hit goes. Columns
     and clean rows stay as they are."""
-    found = find_passages(docs, benchmark, text_col=text_col, **options)
-    kept = found.where(hit_words() <= F.lit(float(max_coverage)) * F.col("n_words"))
+    found = find_passages(docs, benchmark, text_col=text_col, prefix="_passages_", **options)
+    spans = "_passages_hit_spans"
+    kept = found.where(hit_words(spans) <= F.lit(float(max_coverage)) * F.col("_passages_n_words"))
     raw = F.col(text_col).cast("binary")
-    long_runs = F.filter("hit_spans", lambda s: s["last"] - s["first"] + 1 > max_run)
+    long_runs = F.filter(spans, lambda s: s["last"] - s["first"] + 1 > max_run)
     # Kept pieces between the cut runs; offsets are bytes.
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").cast("binary").alias("kept"))
     cut = F.aggregate(

@@ -151,20 +151,23 @@ def identify(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "lang",
+    prefix: str = "",
 ) -> DataFrame:
     """``df`` with ``lang_pred``, ``score`` (0 to 1) and ``phrase_rate`` (phrases per letter
     of the best language). Only ``text_col`` of ``df`` is read for a prediction.
 
     ``labelled`` rows without text or label are passed over. A text that is null or has no
     letter, and every text where nothing was learned, is ``und`` with score 0. Ties go to
-    the label that sorts first. Columns of these names in ``df`` are replaced.
+    the label that sorts first. ``prefix`` goes before these names; columns so named in
+    ``df`` are replaced.
     """
     labelled = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     samples = df.sparkSession.sparkContext.broadcast(
         training_samples(labelled, rows, letters, id_col, text_col, label_col)
     )
     key = uuid.uuid4().hex
-    base = df.drop("lang_pred", "score", "phrase_rate")
+    names = [prefix + name for name in ("lang_pred", "score", "phrase_rate")]
+    base = df.drop(*names)
 
     def run(batches):
         import pyarrow as pa
@@ -177,10 +180,10 @@ def identify(
             found = [predict(text) for text in batch[text_col].to_pylist()]
             languages, scores, rates = ([f[i] for f in found] for i in range(3))
             columns = [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score", "phrase_rate"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
     schema = T.StructType([*base.schema.fields])
-    schema = schema.add("lang_pred", "string").add("score", "double").add("phrase_rate", "double")
+    schema = schema.add(names[0], "string").add(names[1], "double").add(names[2], "double")
     return base.mapInArrow(run, schema)
 
 
