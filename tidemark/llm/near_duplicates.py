@@ -93,54 +93,55 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
 
 
 def node_members(sets: DataFrame) -> DataFrame:
-    """Groups of documents to compare: ``members``, the ``id`` and ``tokens`` of the
-    documents of one small node, or of one block of a node that no level divides."""
-    level = sets.select(
-        "id", "tokens", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "token")
-    ).select("id", "tokens", F.xxhash64("tree", "token").alias("node"))
+    """Groups of documents to compare: ``members``, sorted ids of the documents of one small
+    node, or of one block of a node that no level divides; each group once. Rows carry ids
+    alone until a node is known to branch."""
     groups = None
-
-    def gathered(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("node").agg(F.collect_list(F.struct("id", "tokens")).alias("members")).select("members")
-
+    level = sets.select("id", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "token")).select(
+        "id", F.xxhash64("tree", "token").alias("node")
+    )
     for depth in range(1, DEPTH + 1):
-        level = written(level, f"level-{depth}")
         counts = level.groupBy("node").agg(F.count(F.lit(1)).alias("rows"))
         counts = written(counts.where("rows > 1"), f"nodes-{depth}")
-        small = gathered(level.join(counts.where(F.col("rows") <= NODE_LIMIT), "node"))
+        shared = level.join(counts.hint("merge"), "node")
+        shared = written(shared, f"level-{depth}")
+        small = shared.where(F.col("rows") <= NODE_LIMIT).groupBy("node").agg(F.array_sort(F.collect_list("id")).alias("members"))
+        small = small.select("members")
         groups = small if groups is None else groups.union(small)
-        large = level.join(counts.where(F.col("rows") > NODE_LIMIT), "node")
+        large = shared.where(F.col("rows") > NODE_LIMIT)
+        if depth == 1:
+            large = large.join(sets.select("id", "tokens"), "id")
         if depth < DEPTH:
             # A node chooses one further coordinate, and every fourth node a second.
             first = F.pmod(F.xxhash64("node"), F.lit(FURTHER))
             second = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit(1)), F.lit(FURTHER - 1)), F.lit(FURTHER))
             chosen = F.when(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(4)) == 0, F.array(first, second)).otherwise(F.array(first))
-            level = large.withColumn("at", F.explode(chosen)).select(
-                "id", "tokens", F.xxhash64("node", "at", F.element_at("tokens", (F.col("at") + TREES + 1).cast("int"))).alias("node")
+            token = F.element_at("tokens", (F.col("at") + TREES + 1).cast("int"))
+            level = written(
+                large.withColumn("at", F.explode(chosen)).select("id", "tokens", F.xxhash64("node", "at", token).alias("node")),
+                f"branches-{depth}",
             )
     # What is still together is alike: blocks that share some documents.
-    own = F.struct("id", "tokens")
     hubs = large.groupBy("node").agg(
-        F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64("id", F.lit(h)).alias("place"), own.alias("own"))) for h in range(HUBS)])).alias("hubs")
+        *[F.min(F.struct(F.xxhash64("id", F.lit(h)).alias("place"), "id")).alias(f"hub{h}") for h in range(HUBS)]
     )
-    hubs = written(hubs, "hubs")
+    hubs = written(hubs.select("node", F.array(*[f"hub{h}.id" for h in range(HUBS)]).alias("hubs")), "hubs")
     block = F.pmod(F.xxhash64("id", "node"), F.ceil(F.col("rows") / (NODE_LIMIT - HUBS)))
     blocks = (
         large.withColumn("block", block)
         .groupBy("node", "block")
-        .agg(F.collect_list(own).alias("members"))
+        .agg(F.collect_list("id").alias("members"))
         .join(hubs, "node")
-        .select(F.array_distinct(F.concat("members", F.transform("hubs", lambda h: h["own"]))).alias("members"))
+        .select(F.array_sort(F.array_distinct(F.concat("members", "hubs"))).alias("members"))
     )
-    return groups.union(blocks)
+    return groups.union(blocks).distinct()
 
 
-def likely_groups(groups: DataFrame, threshold: float) -> DataFrame:
+def likely_groups(groups: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """``members``: sorted ids of documents that may be linked, each group once. Members
     whose minwise tokens agree too little with all others are left out: a pair at the
     threshold agrees less than this with a chance under one in ten million."""
-    kind = groups.schema["members"].dataType.elementType["id"].dataType.simpleString()
-    schema = f"members array<{kind}>"
+    schema = f"members {groups.schema['members'].dataType.simpleString()}"
     target = arrow_schema(schema, groups.sparkSession)
     deviation = (COORDINATES * threshold * (1 - threshold)) ** 0.5
     least = int(COORDINATES * threshold - 5.5 * deviation)
@@ -166,7 +167,10 @@ def likely_groups(groups: DataFrame, threshold: float) -> DataFrame:
                 out += [sorted(p) for p in parts.values() if len(p) > 1]
             yield pa.RecordBatch.from_arrays([pa.array(out, target.field(0).type)], schema=target)
 
-    return groups.mapInArrow(run, schema).distinct()
+    named = written(groups.withColumn("group", F.xxhash64("members")), "nodes")
+    full = named.select("group", F.explode("members").alias("id")).join(sets.select("id", "tokens").hint("merge"), "id")
+    gathered = full.groupBy("group").agg(F.collect_list(F.struct("id", "tokens")).alias("members"))
+    return gathered.select("members").mapInArrow(run, schema).distinct()
 
 
 def _find(root: list[int], i: int) -> int:
@@ -189,7 +193,9 @@ def confirmed_links(groups: DataFrame, docs: DataFrame, sets: DataFrame, width:
     wanted = groups.select("group", F.explode("members").alias("id"))
     kind = docs.schema[id_col].dataType.simpleString()
     digest = sets.select("id", "digest").join(wanted.select("id").distinct(), "id", "left_semi")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(written(digest, "wanted"), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # The same join at every size: texts move once, and only those of a group go on.
+    texts = texts.join(written(digest, "wanted").hint("merge"), "id")
     schema = f"id {kind}, shingles binary"
     target = arrow_schema(schema, docs.sparkSession)
 
@@ -246,7 +252,7 @@ def near_duplicates(
     full = rows.where("id is not null and n_shingles > 0")
     sets = full.groupBy("digest").agg(F.min(F.struct("id", "tokens")).alias("first"))
     sets = written(sets.select("digest", "first.*"), "sets-of-documents")
-    groups = likely_groups(node_members(sets.select("id", "tokens")), threshold)
+    groups = likely_groups(node_members(sets), sets, threshold)
     links = confirmed_links(groups, docs, sets, width, threshold, id_col, text_col)
     copies = rows.select("id", "digest").join(sets.select("digest", F.col("id").alias("first")), "digest")
     own = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
