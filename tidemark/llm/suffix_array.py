@@ -35,10 +35,11 @@ GRAMS = WINDOW - ANCHOR + 1  # anchors a window can choose from
 SHALLOW_WORDS = 2  # 8-byte words that are sorted before blind tries begin
 CONTEXT = 2 * WINDOW - ANCHOR  # longest text whose windows share an anchor
 ROW = CONTEXT + 4  # a context with its anchor place and window count
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 SEGMENT = 1 << 20
 PLACE_BITS = np.uint64((1 << 24) - 1)
+BLOCK = "_repeats_block"  # column that deals documents out
 NO_ID = np.iinfo(np.int64).max
 
 ANSWERS = "block int, kind int, bucket int, bits binary, extra binary"
@@ -392,8 +393,9 @@ def _removal(id_col: str, text_col: str, buckets: int, with_text: bool, target:
 
 def _rows(block: Block, starts: np.ndarray, with_text: bool, text_col: str) -> list[pa.Array]:
     """Output columns of a block from the places where removed windows begin."""
-    seen = np.concatenate([[0], np.cumsum(starts)])
-    covered = seen[1:] > seen[np.maximum(0, np.arange(len(starts)) - WINDOW + 1)]
+    seen = np.cumsum(starts, dtype=np.int32)
+    covered = seen > 0
+    covered[WINDOW:] = seen[WINDOW:] > seen[:-WINDOW]
     removed, spans, digests, texts = [], [], [], []
     for a, z in zip(block.begins[:-1].tolist(), block.begins[1:].tolist()):
         gone, own = covered[a:z], block.data[a:z]
@@ -411,17 +413,20 @@ def _rows(block: Block, starts: np.ndarray, with_text: bool, text_col: str) -> l
     if with_text:
         old = table[text_col].to_pylist()
         table = table.set_column(table.schema.get_field_index(text_col), text_col, pa.array([o if t is None else t for o, t in zip(old, texts)], pa.string()))
-    table = table.drop_columns(["block"])
+    table = table.drop_columns([BLOCK])
     sizes = np.diff(block.begins)
     columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
     return [*columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True, prefix: str = ""
+) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``: every byte
     goes that is covered by a 50-byte string which also starts in a document with a smaller
     id. With ``with_text`` the text column is what is kept, in whole characters (the digest
-    then is that text's). Columns of the new names in ``docs`` are replaced.
+    then is that text's). ``prefix`` goes before the new names; columns so named in ``docs``
+    are replaced.
 
     Null texts count as empty and stay null. A null id is larger than any other. Rows of one
     id are one document for the comparison: they do not remove each other. An empty table
@@ -429,29 +434,29 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    docs = docs.drop(*added, "block")
+    added = [prefix + name for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
+    docs = docs.drop(*added)
     text = F.coalesce(F.col(text_col), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, math.ceil(total / BLOCK_BYTES), min(partitions, math.ceil(total / SEGMENT)))
     buckets = max(1, math.ceil(total / BUCKET_BYTES), min(partitions, math.ceil(total / SEGMENT)))
     block = F.pmod(F.xxhash64(F.col(id_col), text), F.lit(blocks)).cast("int")
-    dealt = docs.withColumn("block", block)
+    dealt = docs.withColumn(BLOCK, block)
     schema = T.StructType([*docs.schema.fields])
     for name in added[:-1]:
         schema = schema.add(name, "long")
     schema = schema.add(added[-1], "string")
 
     messages = "bucket int, block int, keys binary, bits binary"
-    anchors = dealt.groupBy("block").applyInArrow(_anchor_messages(id_col, text_col, buckets), messages)
+    anchors = dealt.groupBy(BLOCK).applyInArrow(_anchor_messages(id_col, text_col, buckets), messages)
     repeated = anchors.groupBy("bucket").applyInArrow(_repeated_anchors, ANSWERS)
     contexts = (
-        dealt.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_context_messages(id_col, text_col, buckets), messages)
+        dealt.groupBy(BLOCK).cogroup(repeated.groupBy("block")).applyInArrow(_context_messages(id_col, text_col, buckets), messages)
     )
     owners = contexts.groupBy("bucket").applyInArrow(_window_owners, ANSWERS)
     remove = _removal(id_col, text_col, buckets, with_text, to_arrow_schema(schema))
-    return dealt.groupBy("block").cogroup(repeated.union(owners).groupBy("block")).applyInArrow(remove, schema)
+    return dealt.groupBy(BLOCK).cogroup(repeated.union(owners).groupBy("block")).applyInArrow(remove, schema)
 
 
 def op1_suffix_dedup(spark, directory):
