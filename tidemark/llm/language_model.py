@@ -1,6 +1,6 @@
 """Text scores by a probabilistic suffix tree over bytes, and by word counts.
 
-Training counts every byte with the up to seven bytes before it, over all training texts. A
+Training counts every byte with the up to five bytes before it, over all training texts. A
 context is kept if it is frequent enough and its next-byte distribution differs from that
 of the next shorter context by a divergence test; distributions are smoothed with those of
 shorter contexts. For scoring the tree becomes an automaton whose state is the longest kept
@@ -19,19 +19,19 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_schema, chunks_of_bytes, load, word_hashes, written
 
 FOLDS, HELD_OUT = 7, 2
-DEPTH = 7  # longest context in bytes: eight bytes make one number
+DEPTH = 5  # longest context in bytes
 # A context needs this share of all bytes: at most 1 / FREQUENT contexts of each length.
-FREQUENT = 1e-5
+FREQUENT = 2e-5
 COMMON = 2e-6
 END = 10  # the byte that ends a text and, repeated, stands before it; no word holds it
 LANES = 2048
-FLUSH = 3_000_000
+FLUSH = 1_000_000
 WORD, GRAM, TEXTS = 0, 1, 2
 
 
@@ -138,9 +138,8 @@ def kept_contexts(counts: DataFrame, frequent: float = FREQUENT) -> list:
         .groupBy("length", "context", "symbol")
         .agg(F.sum("n").alias("n"))
     )
-    # At most 256 symbols follow a context.
-    whole = ends.withColumn("total", F.sum("n").over(Window.partitionBy("length", "context")))
-    often = written(whole.where(F.col("total") >= frequent * total), "contexts")
+    totals = ends.groupBy("length", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= frequent * total)
+    often = written(ends.join(totals, ["length", "context"]), "contexts")
     shorter = F.expr("context & (shiftleft(1L, 8 * greatest(length - 1, 0)) - 1)")
     parent = often.select(
         (F.col("length") + 1).alias("length"), F.col("context").alias("shorter"), "symbol", (F.col("n") / F.col("total")).alias("share")
@@ -182,7 +181,7 @@ class SuffixTree:
             states.update(context[:i] for i in range(1, len(context)))
         order = sorted(states, key=lambda c: (len(c), c))
         place = {c: i for i, c in enumerate(order)}
-        probability = np.zeros((len(order), width))
+        probability = np.zeros((len(order), width), np.float32)
         onward = np.zeros((len(order), width), np.int32)
         back = np.zeros(len(order), np.int64)  # longest shorter suffix that is a state
         for i, context in enumerate(order):
@@ -219,7 +218,7 @@ class SuffixTree:
                 if child is not None:
                     onward[i, self.symbol_class[symbol]] = child
         self.onward = onward.ravel()
-        self.log = np.log10(probability).astype(np.float32).ravel()
+        self.log = np.log10(probability, out=probability).ravel()
         self.states = len(order)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
