@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Rows handed to Python at once: texts may be long, so the batch stays small.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20
 
 
 def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -18,6 +19,7 @@ def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
     for key, value in (
         ("spark.sql.session.timeZone", "UTC"),
         ("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)),
     ):
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
