@@ -13,7 +13,10 @@ import os
 import sys
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
+# Python workers import the package too.
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [HERE, os.environ.get("PYTHONPATH")]))
 
 from tidemark import catalog
 from tidemark.session import local_session
@@ -48,12 +51,11 @@ HEADLINE = [
     "heartbeat_gaps",
     "sustained_condition",
     "write_and_read_table",
-    "changes_after_compaction",
     "backfill_bundles",
 ]
 
 
-RUN_ONCE = {"write_and_read_table", "changes_after_compaction", "backfill_bundles"}
+RUN_ONCE = {"write_and_read_table", "backfill_bundles"}
 
 
 def main() -> None:

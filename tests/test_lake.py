@@ -1,4 +1,4 @@
-"""The table: layout, ledger, change feed, maintenance, crash behaviour."""
+"""The table: layout, reads, backfill, crash behaviour, decoded lanes."""
 
 import os
 from datetime import datetime, timedelta
@@ -36,19 +36,85 @@ def ids(rows):
     return sorted(int(r.id) for r in rows.select("id").collect())
 
 
+def files_of(spark, table):
+    rows = spark.read.schema(schemas.TABLE_ROWS).parquet(table.data)
+    found = rows.groupBy("type", "year", "month", "day", F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("rows"))
+    return found.collect()
+
+
 def test_layout_one_file_per_type_and_day(spark, table):
     rows = events(spark).unionByName(events(spark, day=1, start=100)).unionByName(
         events(spark, day=1, start=200, type=fv.TYPE_FINGERPRINT)
     )
-    assert table.append(rows, T0) == 1
-    found = table.live_files().collect()
-    assert len(found) == 3 and sum(r.rows for r in found) == 60 and all(r.bytes > 0 for r in found)
+    table.write(rows, "a", 1, T0)
+    found = files_of(spark, table)
+    assert len(found) == 3 and sum(r.rows for r in found) == 60
     assert {(r.year, r.month, r.day) for r in found} == {(2026, 6, 1), (2026, 6, 2)}
     assert reports.layout_audit(table.stored()).where("unsorted_rows > 0 OR misplaced_rows > 0").count() == 0
 
 
+def test_empty_table_and_empty_write(spark, table):
+    assert table.read().count() == 0
+    table.write(events(spark).limit(0), "a", 1, T0)
+    table.write(events(spark), "b", 2, T0)
+    assert table.read().count() == 20
+
+
+def test_a_batch_replaces_itself_and_nothing_else(spark, table):
+    table.write(events(spark), "a", 1, T0)
+    table.write(events(spark, start=100), "b", 2, T0)
+    table.write(events(spark, start=100), "b", 2, T0)
+    assert ids(table.read()) == [*range(20), *range(100, 120)]
+    assert ids(lake.read_changes(table.read(), 2, 2)) == list(range(100, 120))
+
+
+def test_a_write_stopped_half_way_leaves_the_committed_rows(spark, table):
+    table.write(events(spark), "a", 1, T0)
+    fails = events(spark, start=100).withColumn(
+        "data", F.when(F.col("id") == "113", F.raise_error(F.lit("disk is gone"))).otherwise(F.col("data"))
+    )
+    with pytest.raises(Exception, match="disk is gone"):
+        table.write(fails, "b", 2, T0)
+    assert ids(table.read()) == list(range(20))
+    table.write(events(spark, 5, start=100), "b", 2, T0)
+    assert ids(table.read()) == [*range(20), *range(100, 105)]
+
+
+def test_special_characters_in_types(spark, table):
+    odd = "raw.a b:c+d/e%"
+    table.write(events(spark, type=odd), "a", 1, T0)
+    assert table.read(odd).count() == 20 and {r.type for r in table.read().collect()} == {odd}
+
+
+def test_codec_and_row_cap_apply(spark, table):
+    table.write(events(spark, 50), "a", 1, T0, **lake.write_options("uncompressed", target_bytes=1000, row_bytes=100))
+    assert max(r.rows for r in files_of(spark, table)) == 10
+
+
+def test_quarantine_keeps_headers_and_tags(spark, tmp_path):
+    rows = spark.createDataFrame([("x", {"a": "b"}, ["t"], "undecodable")], "value string, headers map<string,string>, tags array<string>, reject_reason string")
+    lake.quarantine(rows, str(tmp_path / "q"))
+    kept = spark.read.parquet(str(tmp_path / "q")).first()
+    assert kept.headers == {"a": "b"} and kept.tags == ["t"] and kept.reject_reason == "undecodable"
+
+
+def test_decoded_batches_are_clustered_and_replay_safe(spark, tmp_path):
+    schema = "dedup_id string, v int, lane string, d date"
+    d1, d2 = T0.date(), (T0 + timedelta(days=1)).date()
+    target = str(tmp_path / "decoded")
+    rows = [(f"{i % 30}", i % 30, "xy"[i % 2], (d1, d2)[i % 2]) for i in range(60)]
+    new = spark.createDataFrame(rows, schema).repartition(8)
+    for _ in range(2):
+        lake.append_decoded(new, target, "one", ["dedup_id"], "d", ("lane",))
+    more = spark.createDataFrame([("3", 3, "y", d2), ("99", 1, "x", d1)], schema)
+    lake.append_decoded(more, target, "two", ["dedup_id"], "d", ("lane",), seen=spark.read.parquet(target).where("d >= DATE '2026-06-01'"))
+    stored = spark.read.parquet(target)
+    assert sorted(int(r.dedup_id) for r in stored.collect()) == [*range(30), 99]
+    assert stored.where("batch = 'one'").select(F.input_file_name()).distinct().count() == 2
+
+
 def test_reads_prune_partitions(spark, table):
-    table.append(events(spark).unionByName(events(spark, day=1, start=100)), T0)
+    table.write(events(spark).unionByName(events(spark, day=1, start=100)), "a", 1, T0)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     rows = table.read(fv.TYPE_STATUS, T0, T0 + timedelta(hours=1), subject="did:erc721:137:0xA:1")
     assert ids(rows) == [1, 6, 11, 16]
@@ -58,75 +124,6 @@ def test_reads_prune_partitions(spark, table):
     assert "EqualTo(subject" in plan
 
 
-def test_empty_append_makes_no_snapshot(spark, table):
-    assert table.append(events(spark).limit(0), T0) is None
-    assert table.snapshots().count() == 0 and table.read().count() == 0
-
-
-def test_micro_batch_is_committed_once(spark, table):
-    assert table.append(events(spark), T0, batch="q-0") == 1
-    assert table.append(events(spark), T0, batch="q-0") is None
-    assert table.read().count() == 20
-
-
-def test_uncommitted_files_are_invisible_and_become_orphans(spark, table):
-    table.append(events(spark), T0)
-    table.write_files(events(spark, start=500).withColumns({"snapshot_id": F.lit(2).cast("long"), "ingest_time": F.lit(T0)}), 2)
-    assert ids(table.read()) == list(range(20))
-    later = datetime.now() + timedelta(days=30)
-    orphans = maintenance.orphan_candidates(table, later)
-    assert orphans.count() == 1
-    assert maintenance.orphan_candidates(table, later, -1).count() == 0
-    assert maintenance.orphan_candidates(table, datetime.now()).count() == 0
-    maintenance.delete_paths(table, orphans, table.head())
-    assert maintenance.orphan_candidates(table, later).count() == 0 and table.read().count() == 20
-
-
-def test_special_characters_in_types_survive_maintenance(spark, table):
-    for i in range(2):
-        table.append(events(spark, start=100 * i, type="raw.a b:c+d/e%"), T0)
-    later = datetime.now() + timedelta(days=30)
-    assert maintenance.orphan_candidates(table, later).count() == 0
-    assert maintenance.compact(table, later) == 3
-    assert table.read().count() == 40 and table.live_files().count() == 1
-    maintenance.expire(table, later)
-    assert maintenance.orphan_candidates(table, later).count() == 0
-    assert maintenance.delete_paths(table, maintenance.cleanup_candidates(table), 3) == 2
-    assert table.read().count() == 40 and maintenance.table_listing(table).count() == 1
-
-
-def test_compaction_keeps_rows_and_change_feed(spark, table):
-    for i in range(4):
-        table.append(events(spark, start=100 * i).unionByName(events(spark, start=100 * i + 50, day=1)), T0 + timedelta(hours=i))
-    before = table.read()
-    rows_before, feed_before = before.collect(), sorted(r.id for r in table.changes(2, 3).collect())
-    assert table.live_files().count() == 8
-    assert maintenance.compact(table, T0 + timedelta(days=1)) == 5
-    assert table.live_files().count() == 2
-    key = lambda r: (r.snapshot_id, r.id)
-    assert sorted(table.read().collect(), key=key) == sorted(rows_before, key=key)
-    assert sorted(r.id for r in table.changes(2, 3).collect()) == feed_before
-    assert maintenance.compact(table, T0 + timedelta(days=1)) is None
-    # Time travel to a snapshot before the compaction still reads the old files.
-    assert table.as_of(2).count() == 80
-    assert reports.layout_audit(table.stored()).where("unsorted_rows > 0").count() == 0
-
-
-def test_delete_heavy_rewrite_then_compact(spark, table):
-    for i in range(4):
-        table.append(events(spark, 30, start=100 * i), T0)
-    doomed = F.col("id").cast("int") % 100 < 18
-    table.delete_rows(table.stored().where(doomed), T0)
-    assert table.read().count() == 48
-    assert maintenance.rewrite_delete_heavy(table, T0, -1) is None
-    assert maintenance.rewrite_delete_heavy(table, T0, 0.5) is not None
-    assert table.read().count() == 48 and table.live_files().agg(F.sum("rows")).first()[0] == 48
-    assert maintenance.rewrite_delete_heavy(table, T0, 0.5) is None
-    maintenance.compact(table, T0)
-    assert table.live_files().count() == 1 and table.read().count() == 48
-    assert table.as_of(4).count() == 120
-
-
 def bundle_folder(spark, root, days=2, files_per_day=2):
     n = 0
     for day in range(days):
@@ -149,6 +146,21 @@ def test_backfill_is_idempotent(spark, table, tmp_path):
     assert reports.layout_audit(table.stored()).where("misplaced_rows > 0").count() == 0
 
 
+def test_backfill_finishes_a_batch_that_was_stopped(spark, table, tmp_path, monkeypatch):
+    listed = bundle_folder(spark, tmp_path / "old")
+    write = table.write
+
+    def broken(*_args, **_kwargs):
+        raise RuntimeError("no space")
+
+    monkeypatch.setattr(table, "write", broken)
+    with pytest.raises(RuntimeError):
+        maintenance.backfill(table, listed, T0)
+    monkeypatch.setattr(table, "write", write)
+    assert maintenance.backfill(table, listed, T0) == {"registered": 0, "skipped": 4}
+    assert table.read().count() == 60
+
+
 def test_backfill_snapshots_are_bounded(spark, table, tmp_path):
     root = tmp_path / "old"
     for i in range(5):
@@ -162,11 +174,9 @@ def test_backfill_snapshots_are_bounded(spark, table, tmp_path):
                 os.rename(os.path.join(folder, name), flat / f"batch-{i}.parquet")
     listed = files.list_objects(spark, str(root), "flat/")
     assert maintenance.backfill(table, listed, T0, cap=2) == {"registered": 5, "skipped": 0}
-    snapshots = table.snapshots().orderBy("snapshot_id").collect()
-    assert [s.rows for s in snapshots] == [4, 4, 2]
-    assert ids(table.changes(1, 1)) == [0, 1, 10, 11]
-    native = table.append(events(spark, 3, start=900), T0)
-    assert native == 4 and table.read().count() == 13
+    per_snapshot = table.read().groupBy("snapshot_id").count().orderBy("snapshot_id").collect()
+    assert [r["count"] for r in per_snapshot] == [4, 4, 2]
+    assert ids(lake.read_changes(table.read(), 1, 1)) == [0, 1, 10, 11]
 
 
 def test_partial_prefix_registers_only_new_files(spark, tmp_path):
@@ -176,60 +186,6 @@ def test_partial_prefix_registers_only_new_files(spark, tmp_path):
     assert files.prefix_status(listed, known).collect()[0].asDict() == {"prefix": "d/", "files": 5, "registered": 3, "status": "partial"}
 
 
-def progress(spark, rows):
-    return spark.createDataFrame(rows, schemas.CONSUMER_PROGRESS)
-
-
-def test_expiry_respects_the_floor_and_cleanup_follows(spark, table):
-    for i in range(5):
-        table.append(events(spark, 10, start=100 * i), T0 + timedelta(hours=i))
-    now = T0 + timedelta(days=10)
-    maintenance.compact(table, now)
-    settings = maintenance.Settings(delete_files=True)
-    slow = progress(spark, [("c", 2, now - timedelta(minutes=1)), ("dead", 0, now - timedelta(days=2))])
-    report, error = maintenance.maintenance_cycle(table, slow, now, settings)
-    assert error is None and {r.outcome for r in report.collect()} == {"done"}
-    # Snapshots 1 and 2 are consumed; 3 is the first the live consumer still needs.
-    assert table.snapshots().agg(F.min("snapshot_id")).first()[0] == 3
-    assert table.data_files().where("removed_snapshot IS NOT NULL").count() == 5
-    done = progress(spark, [("c", 6, now)])
-    maintenance.maintenance_cycle(table, done, now, settings)
-    assert [r.snapshot_id for r in table.snapshots().collect()] == [6]
-    assert table.read().count() == 50 and table.data_files().count() == 1
-    assert maintenance.table_listing(table).count() == 1
-
-
-def test_cycle_continues_after_a_failing_step(spark, table, monkeypatch):
-    table.append(events(spark), T0)
-
-    def broken(*_args, **_kwargs):
-        raise RuntimeError("no space")
-
-    monkeypatch.setattr(maintenance, "compact", broken)
-    report, error = maintenance.maintenance_cycle(table, progress(spark, []), T0 + timedelta(days=9))
-    outcomes = {r.step: r.outcome for r in report.collect()}
-    assert outcomes["compact"] == "failed" and outcomes["expire_snapshots"] == "done" and outcomes["sweep_orphans"] == "done"
-    assert "no space" in str(error)
-
-
-def test_staleness_must_be_below_retention():
-    with pytest.raises(ValueError):
-        maintenance.Settings(retention_seconds=60, staleness_seconds=60)
-
-
-def test_relayout_repairs_unsorted_files(spark, table):
-    rows = lake.with_partition_columns(events(spark, 40)).withColumns(
-        {"snapshot_id": F.lit(1).cast("long"), "ingest_time": F.lit(T0)}
-    )
-    path = f"{table.data}/commit=1"
-    rows.orderBy(F.desc("id")).coalesce(1).write.partitionBy(*schemas.PARTITION_COLUMNS).parquet(path)
-    table.record(table.inventory(path), table.snapshot_row(1, T0, "append", 40), 1)
-    assert reports.layout_audit(table.stored()).first().unsorted_rows > 0
-    assert maintenance.relayout(table, T0) == 2
-    assert reports.layout_audit(table.stored()).where("unsorted_rows > 0").count() == 0
-    assert table.read().count() == 40 and maintenance.relayout(table, T0) is None
-
-
 def test_write_options():
     assert lake.write_options("ZSTD")["compression"] == "zstd"
     assert lake.write_options("")["compression"] == lake.write_options("bogus")["compression"] == "snappy"
@@ -238,14 +194,6 @@ def test_write_options():
     assert lake.write_options(target_bytes=1000, row_bytes=10)["maxRecordsPerFile"] == "100"
 
 
-def test_codec_and_row_cap_apply(spark, table):
-    table.append(events(spark, 50), T0, **lake.write_options("uncompressed", target_bytes=1000, row_bytes=100))
-    assert table.live_files().agg(F.max("rows")).first()[0] == 10
-    layout = table.live_files().withColumn("layout", F.lit("uncompressed"))
-    report = reports.storage_report(layout).first()
-    assert report.events == 50 and report.bytes_per_event > 0
-
-
 def test_list_objects_hides_dot_files_and_missing_prefix(spark, tmp_path):
     for name in ["raw/type=a/1.bin", "raw/type=b/2.bin", "raw/.tmp/3.bin", "raw/.hidden", "other/4.bin"]:
         target = tmp_path / name
@@ -257,19 +205,6 @@ def test_list_objects_hides_dot_files_and_missing_prefix(spark, tmp_path):
     assert files.list_objects(spark, str(tmp_path)).count() == 3
 
 
-def test_append_decoded_inserts_once(spark, tmp_path, monkeypatch):
-    schema = "dedup_id string, v int, lane string, d date"
-    d1, d2 = T0.date(), (T0 + timedelta(days=1)).date()
-    for i, listed in enumerate((1000, 0)):
-        monkeypatch.setattr(lake, "MAX_LISTED_DATES", listed)
-        target = str(tmp_path / f"decoded{i}")
-        new = spark.createDataFrame([("a", 1, "x", d1), ("a", 1, "x", d1), ("b", 2, "y", d2)], schema)
-        lake.append_decoded(new, target, ["dedup_id"], "d", ("lane",))
-        more = spark.createDataFrame([("b", 2, "y", d2), ("c", 3, "y", d1)], schema)
-        lake.append_decoded(more, target, ["dedup_id"], "d", ("lane",))
-        assert sorted(r.dedup_id for r in spark.read.parquet(target).collect()) == ["a", "b", "c"]
-
-
 def test_merge_group_limit(spark):
     backlog = spark.createDataFrame([("t", 10, 10 * (8 << 20), 0.0), ("u", 2, 2 << 20, 0.0)], "table_name string, files long, total_bytes long, average_bytes double")
     limit = lambda **k: files.merge_group_limit(backlog, **k).first()[0]

@@ -165,10 +165,11 @@ def is_vehicle_subject(subject: Column, chain: int | str, contract: str) -> Colu
     return F.coalesce(same, F.lit(False))
 
 
-def blob_key(prefix: str, subject: Column, as_of: Column, key: Column) -> Column:
-    """``<prefix><subject>/<year>/<mm>/<dd>/<uuid>``; the uuid is derived from the
-    event key, so a retried job writes the same object."""
-    digest = F.sha2(key, 256)
+def blob_key(prefix: str, subject: Column, as_of: Column, key: Column, payload: Column) -> Column:
+    """``<prefix><subject>/<year>/<mm>/<dd>/<uuid>``; the uuid is derived from the event
+    key and the payload, so a retried job writes the same object and two payloads never
+    share one."""
+    digest = F.sha2(F.concat_ws("|", key, F.sha2(payload, 256)), 256)
     groups = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     uuid = F.concat_ws("-", *[F.substring(digest, start, size) for start, size in groups])
     return F.concat(

@@ -276,6 +276,21 @@ def decode_packed(raw: DataFrame, chain: int | str, contract: str, as_of: Column
     )
 
 
+def decode_faults(raw: DataFrame, chain: int | str, contract: str, as_of: Column) -> DataFrame:
+    """What decoding leaves out, one row per raw event, reason and position: elements that
+    cannot be decoded, signals from the future, and coordinates without a partner."""
+    decoded = decode_arrays(raw.withColumn("event_key", identity.event_key()), chain, contract)
+    ahead = F.transform(
+        F.filter("signals", lambda x: checks.is_future(x["timestamp"], as_of)),
+        lambda x: F.concat(F.lit("future_signal: "), x["name"]),
+    )
+    reasons = decoded.withColumns({"_ahead": ahead, "_decode": F.col("decode_errors")})
+    merged = merge_coordinates(with_pruned(reasons, as_of))
+    places = F.transform(F.col("location_errors"), lambda e: F.concat(F.lit("location: "), e.cast("string")))
+    every = F.concat("_decode", "_ahead", places)
+    return merged.select("event_key", "subject", F.posexplode(every).alias("position", "reason"))
+
+
 def decode_vehicle_events(raw: DataFrame) -> DataFrame:
     """Events-type messages, any subject: one array element per event, with errors."""
     wanted = raw.where(F.col("type") == fv.TYPE_EVENTS)

@@ -153,8 +153,11 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
         .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     )
     bare = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
-    key = F.substring(bare(F.col("path")), F.length(bare(F.lit(qualified))) + 2, F.lit(1 << 20))
-    keyed = listed.withColumn("key", key).select("path", "key", "size", "modified")
+    keyed = (
+        listed.withColumns({"_bare": bare(F.col("path")), "_from": F.length(bare(F.lit(qualified))) + 2})
+        .withColumn("key", F.expr("substring(_bare, _from)"))
+        .select("path", "key", "size", "modified")
+    )
     return visible_objects(keyed, prefix)
 
 

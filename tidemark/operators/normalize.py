@@ -104,10 +104,19 @@ def canonical_columns(df: DataFrame, ethr: bool = False, producer: bool = True)
 
 
 def default_id(payload_key: Column) -> Column:
-    """One id per payload, shared by its headers and equal when replayed."""
+    """One id per payload, shared by its headers and equal when replayed. ``payload_key``
+    is the text of the message, so different messages get different ids."""
     return F.substring(F.sha2(payload_key.cast("string"), 256), 1, 27)
 
 
+def message_text(events: DataFrame) -> Column:
+    """The whole message where it is still there, else all that was parsed from it."""
+    if "value" in events.columns:
+        return F.col("value")
+    parsed = [n for n in [*HEADER_NAMES, "data", "data_base64"] if n in events.columns]
+    return F.to_json(F.struct(*parsed))
+
+
 def fan_out(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One payload row to one event per header: (events, rejected payloads).
 
@@ -147,7 +156,7 @@ def fan_out(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
 def validate_connection(events: DataFrame, canonical: bool = True) -> DataFrame:
     """Already parsed single-header events: defaults, rules and ``reject_reason``."""
     no_base64 = F.lit(False)
-    filled = defaulted(F.col, F.col("source"), default_id(F.col("id")), F.col("ingest_time"), no_base64)
+    filled = defaulted(F.col, F.col("source"), default_id(message_text(events)), F.col("ingest_time"), no_base64)
     checked = events.withColumns(filled)
     fault = connection_fault({n: F.col(n) for n in HEADER_NAMES}, no_base64)
     earlier = [F.col("reject_reason")] if "reject_reason" in events.columns else []

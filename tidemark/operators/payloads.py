@@ -20,7 +20,8 @@ def mark_split(
     bytes_of = F.when(is_base64, F.try_to_binary("data_base64", F.lit("base64"))).otherwise(
         F.encode("data", "UTF-8")
     )
-    key = identity.blob_key(prefix, F.col("subject"), F.col("ingest_time"), identity.event_key())
+    payload = F.col("blob_payload")
+    key = identity.blob_key(prefix, F.col("subject"), F.col("ingest_time"), identity.event_key(), payload)
     return (
         events.withColumn("_big", big)
         .withColumn("blob_payload", F.when(F.col("_big"), bytes_of))
@@ -58,15 +59,15 @@ def split_payloads(
     blobs = (
         marked.where(external)
         .select(F.col("blob_key").alias("data_index_key"), F.col("blob_payload").alias("payload"))
-        .groupBy("data_index_key")
-        .agg(F.max("payload").alias("payload"))
+        .dropDuplicates(["data_index_key"])
     )
     faults = marked.where("split_fault IS NOT NULL").drop("blob_key", "blob_payload")
     return stored, blobs, faults.withColumnRenamed("split_fault", "reject_reason")
 
 
 def rehydrate_payloads(raw_events: DataFrame, blobs: DataFrame) -> DataFrame:
-    """Every row with its ``payload`` bytes; only rows holding a key are shuffled."""
+    """Every row with its ``payload`` bytes; only rows holding a key are shuffled. A blob
+    may have been written by several batches: its key names its bytes, so one is taken."""
     inline = raw_events.where("data_index_key IS NULL").withColumn(
         "payload",
         F.coalesce(
@@ -74,6 +75,6 @@ def rehydrate_payloads(raw_events: DataFrame, blobs: DataFrame) -> DataFrame:
         ),
     )
     external = raw_events.where("data_index_key IS NOT NULL").join(
-        blobs.select("data_index_key", "payload"), "data_index_key", "left"
+        blobs.select("data_index_key", "payload").dropDuplicates(["data_index_key"]), "data_index_key", "left"
     )
     return inline.unionByName(external.select(*inline.columns))

@@ -1,9 +1,9 @@
-"""The ``raw_events`` table: partitioned sorted Parquet plus a snapshot ledger.
+"""The ``raw_events`` table: plain partitioned, sorted Parquet.
 
-Files of one commit live below ``data/commit=<n>/type=…/year=…/month=…/day=…``. A
-commit is visible once the ledger lists it, so a failed job leaves orphans, never a
-partial snapshot. Rows carry their ``snapshot_id``; compaction keeps it, which keeps
-the change feed unchanged. One writer per table.
+Every write owns the folder ``data/batch=<name>`` and has ``type=…/year=…/month=…/day=…``
+below it. Spark's committer makes a folder's files visible when its job commits, and a write
+that runs again under its name replaces its own folder, so nothing is lost or doubled by a
+failed job. Rows carry their ``snapshot_id``; the change feed and time travel are filters.
 """
 
 from __future__ import annotations
@@ -17,11 +17,6 @@ from tidemark import fixed_values as fv
 from tidemark import schemas
 from tidemark.operators.dedup import unseen_rows
 from tidemark.operators.reports import reject_class
-from tidemark.session import settle
-
-# Removed files are excluded by a broadcast only up to this many paths (about 40 MB);
-# beyond it Spark plans an ordinary join.
-BROADCAST_PATHS = 200_000
 
 
 def write_options(codec: str = "", parquet_version: str = "", target_bytes: int = 0, row_bytes: int = 0) -> dict:
@@ -84,152 +79,41 @@ class RawEventTable:
         self.root = root.rstrip("/")
         self.data = f"{self.root}/data"
 
-    # ---- ledger -------------------------------------------------------------
-
-    def _exists(self, path: str) -> bool:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-    def _log(self, name: str, schema: str) -> DataFrame:
-        path = f"{self.root}/ledger/{name}"
-        if not self._exists(path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _append_log(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/ledger/{name}")
-
-    def all_snapshots(self) -> DataFrame:
-        return self._log("snapshots", schemas.SNAPSHOTS)
-
-    def expired_before(self) -> int:
-        """Snapshots below this id are expired; a single number, as expiry takes a prefix."""
-        top = self._log("expiry", "snapshot_id bigint").agg(F.max("snapshot_id")).first()[0]
-        return top or 0
-
-    def snapshots(self) -> DataFrame:
-        """Retained snapshots."""
-        return self.all_snapshots().where(F.col("snapshot_id") >= self.expired_before())
-
-    def head(self) -> int:
-        return self.all_snapshots().agg(F.max("snapshot_id")).first()[0] or 0
-
-    def data_files(self) -> DataFrame:
-        """One row per file still on storage: partition, size, rows, added and removed
-        snapshot, reduced from the append-only log."""
-        log = self._log("files", schemas.FILES)
-        when = lambda action: F.max(F.when(F.col("action") == action, F.col("snapshot_id")))
-        state = log.groupBy("path").agg(
-            *[F.max(c).alias(c) for c in ("type", "year", "month", "day", "bytes", "rows")],
-            when("add").alias("added_snapshot"),
-            when("remove").alias("removed_snapshot"),
-            when("delete").alias("_deleted"),
-        )
-        return state.where("_deleted IS NULL AND added_snapshot IS NOT NULL").drop("_deleted")
-
-    def live_files(self) -> DataFrame:
-        return self.data_files().where("removed_snapshot IS NULL")
-
-    def deletes(self) -> DataFrame:
-        return self._log("deletes", schemas.DELETES)
-
-    # ---- write --------------------------------------------------------------
-
-    def write_files(self, rows: DataFrame, commit: int, layout: str = "rebalance", **options: str) -> DataFrame:
-        """Write rows as files of one commit and return their inventory."""
-        path = f"{self.data}/commit={commit}"
+    def write(
+        self,
+        raw_events: DataFrame,
+        batch: str,
+        snapshot_id: int | None = None,
+        time: datetime | None = None,
+        layout: str = "rebalance",
+        **options: str,
+    ) -> str:
+        """Write rows as the folder of ``batch`` and return its path. ``snapshot_id`` and
+        ``time`` fill the columns that the rows do not bring."""
+        columns = [*schemas.RAW_EVENT_COLUMNS, "ingest_time", "snapshot_id"]
+        rows = raw_events
+        if snapshot_id is not None:
+            rows = rows.withColumn("snapshot_id", F.lit(snapshot_id).cast("long"))
+        if "ingest_time" not in rows.columns:
+            rows = rows.withColumn("ingest_time", F.lit(time).cast("timestamp"))
+        rows = rows.select(*[F.col(c) for c in columns if c in rows.columns])
+        path = f"{self.data}/batch={batch}"
         arranged = clustered(with_partition_columns(rows), layout)
         writer = arranged.write.mode("overwrite").partitionBy(*schemas.PARTITION_COLUMNS)
         writer.options(**{**write_options(), **options}).parquet(path)
-        return self.inventory(path)
-
-    def inventory(self, path: str) -> DataFrame:
-        """path, partition, bytes and rows of the files below one commit; settled, so
-        the ledger gets what was found once."""
-        stored = self.spark.read.schema(schemas.TABLE_ROWS).option("basePath", self.data).parquet(path)
-        found = stored.groupBy(
-            F.col("_metadata.file_path").alias("path"),
-            *schemas.PARTITION_COLUMNS,
-            F.col("_metadata.file_size").alias("bytes"),
-        ).agg(F.count("*").alias("rows"))
-        return settle(found)
-
-    def record(
-        self,
-        files: DataFrame,
-        snapshots: DataFrame,
-        snapshot_id: int,
-        removed: DataFrame | None = None,
-    ) -> None:
-        """Files first, snapshots last: readers follow the snapshot log."""
-        columns = [f.split(" ")[0] for f in schemas.FILES.split(", ")]
-        added = files.withColumns({"action": F.lit("add"), "snapshot_id": F.lit(snapshot_id).cast("long")})
-        log = added.select(*columns)
-        if removed is not None:
-            gone = removed.withColumns({"action": F.lit("remove"), "snapshot_id": F.lit(snapshot_id).cast("long")})
-            log = log.unionByName(gone.select(*columns))
-        self._append_log("files", log)
-        self._append_log("snapshots", snapshots)
-
-    def snapshot_row(self, snapshot_id: int, time: datetime, kind: str, rows: int, batch: str | None = None) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(snapshot_id, time, snapshot_id, kind, rows, batch)], schemas.SNAPSHOTS
-        ).coalesce(1)
-
-    def append(self, raw_events: DataFrame, time: datetime, batch: str | None = None, **options: str) -> int | None:
-        """Write one snapshot; None when there was nothing to write or the micro-batch
-        was committed before (the ledger is the record of what was done)."""
-        if batch is not None and self.all_snapshots().where(F.col("batch") == batch).head(1):
-            return None
-        snapshot_id = self.head() + 1
-        columns = [*schemas.RAW_EVENT_COLUMNS, "ingest_time"]
-        present = [F.col(c) for c in columns if c in raw_events.columns]
-        if "ingest_time" not in raw_events.columns:
-            present.append(F.lit(time).cast("timestamp").alias("ingest_time"))
-        rows = raw_events.select(*present, F.lit(snapshot_id).cast("long").alias("snapshot_id"))
-        files = self.write_files(rows, snapshot_id, **options)
-        written = files.agg(F.sum("rows")).first()[0]
-        if not written:
-            return None
-        self.record(files, self.snapshot_row(snapshot_id, time, "append", written, batch), snapshot_id)
-        return snapshot_id
-
-    def delete_rows(self, rows: DataFrame, time: datetime) -> int:
-        """Mark rows (from ``stored``) as deleted; files stay until they are rewritten."""
-        snapshot_id = self.head() + 1
-        marks = settle(
-            rows.select("file_path", "row_index", F.lit(snapshot_id).cast("long").alias("snapshot_id"))
-        )
-        self._append_log("deletes", marks)
-        self._append_log("snapshots", self.snapshot_row(snapshot_id, time, "delete", marks.count()))
-        return snapshot_id
-
-    # ---- read ---------------------------------------------------------------
-
-    def stored(self, at: int | None = None, where: Column | None = None) -> DataFrame:
-        """Visible rows at a snapshot with ``file_path`` and ``row_index``."""
-        head = self.head()
-        at = head if at is None else min(at, head)
-        if head == 0:
-            empty = self.spark.createDataFrame([], schemas.TABLE_ROWS)
-            return empty.withColumns({"file_path": F.lit(""), "row_index": F.lit(0).cast("long")}).drop("commit")
-        rows = self.spark.read.schema(schemas.TABLE_ROWS).option("basePath", self.data).parquet(self.data)
-        if where is not None:
-            rows = rows.where(where)
-        rows = rows.select(
+        return path
+
+    def stored(self, where: Column | None = None) -> DataFrame:
+        """All rows with the ``file_path`` and ``row_index`` they lie at."""
+        if not path_exists(self.spark, self.data):
+            rows = self.spark.createDataFrame([], schemas.TABLE_ROWS)
+            rows = rows.withColumns({"file_path": F.lit(""), "row_index": F.lit(0).cast("long")})
+            return rows if where is None else rows.where(where)
+        rows = self.spark.read.schema(schemas.TABLE_ROWS).parquet(self.data)
+        rows = rows if where is None else rows.where(where)
+        return rows.select(
             "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")
         )
-        commits = self.all_snapshots().where(F.col("snapshot_id") <= at).select("commit").distinct()
-        rows = rows.where(F.col("commit") <= at).join(commits, "commit", "left_semi").drop("commit")
-        gone = self.data_files().where(F.col("removed_snapshot") <= at).select(F.col("path").alias("file_path"))
-        n_gone = gone.count()
-        if n_gone:
-            small = F.broadcast(gone) if n_gone <= BROADCAST_PATHS else gone
-            rows = rows.join(small, "file_path", "left_anti")
-        marks = self.deletes().where(F.col("snapshot_id") <= at)
-        if marks.head(1):
-            rows = rows.join(marks.select("file_path", "row_index"), ["file_path", "row_index"], "left_anti")
-        return rows
 
     def read(
         self,
@@ -237,7 +121,6 @@ class RawEventTable:
         start: datetime | None = None,
         end: datetime | None = None,
         subject: str | None = None,
-        at: int | None = None,
     ) -> DataFrame:
         """Rows by type, time range and subject; partition and row-group pruning apply."""
         where = date_predicate(start, end)
@@ -245,15 +128,12 @@ class RawEventTable:
             where = where & (F.col("type") == type)
         if subject is not None:
             where = where & (F.col("subject") == subject)
-        return self.stored(at, where).select(*schemas.RAW_EVENT_COLUMNS, "snapshot_id", "ingest_time")
+        return self.stored(where).select(*schemas.RAW_EVENT_COLUMNS, "snapshot_id", "ingest_time")
 
-    def as_of(self, snapshot_id: int) -> DataFrame:
-        """Time travel within retention."""
-        return self.read(at=snapshot_id)
 
-    def changes(self, first: int, last: int) -> DataFrame:
-        """Rows inserted by the snapshots of a range; compaction does not change it."""
-        return read_changes(self.read(), first, last)
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def read_changes(raw_events: DataFrame, first: int, last: int) -> DataFrame:
@@ -272,30 +152,24 @@ def union_native_and_backfilled(native: DataFrame, backfilled: DataFrame) -> Dat
 
 
 def quarantine(rejects: DataFrame, path: str, mode: str = "append", reason: str = "reject_reason") -> None:
-    """Write rejected rows with their class, partitioned by reason."""
-    flat = rejects.drop(*[c for c in ("headers", "tags") if c in rejects.columns])
-    flat.withColumn("reject_class", reject_class(reason)).write.mode(mode).partitionBy(reason).parquet(path)
-
-
-# Dates of a batch are handed to the scan as a list up to this many, else as a range.
-MAX_LISTED_DATES = 1000
-
-
-def append_decoded(new: DataFrame, path: str, keys: list[str], date_column: str, lanes: tuple[str, ...] = ()) -> None:
-    """Insert only unseen rows. The target is partitioned by ``lanes`` and the date, and
-    only the dates present in ``new`` are read back for the comparison."""
-    spark = new.sparkSession
-    new = settle(new)
-    found = new.select(date_column).distinct().limit(MAX_LISTED_DATES + 1).collect()
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        target = spark.read.schema(new.schema).parquet(path)
-        if len(found) <= MAX_LISTED_DATES:
-            seen = target.where(F.col(date_column).isin([r[0] for r in found]))
-        else:
-            bounds = [new.agg(f(date_column)).scalar() for f in (F.min, F.max)]
-            seen = target.where(F.col(date_column).between(*bounds))
-        fresh = settle(unseen_rows(new, seen, keys))
-    else:
-        fresh = unseen_rows(new, new.limit(0), keys)
-    fresh.write.mode("append").partitionBy(*lanes, date_column).parquet(path)
+    """Write rejected rows whole, with their class, partitioned by reason."""
+    rejects.withColumn("reject_class", reject_class(reason)).write.mode(mode).partitionBy(reason).parquet(path)
+
+
+def append_decoded(
+    new: DataFrame,
+    path: str,
+    batch: str,
+    keys: list[str],
+    date_column: str,
+    lanes: tuple[str, ...] = (),
+    seen: DataFrame | None = None,
+) -> None:
+    """Write the unseen rows of a batch, one per key, as the folder ``batch=<name>`` with a
+    folder per lane and date below it. The same batch replaces itself, so nothing is read
+    back; ``seen`` are rows, pruned by the caller, whose keys are left out.
+
+    Rows are clustered by lane and date first: a small batch has one file for each."""
+    fresh = unseen_rows(new, new.limit(0) if seen is None else seen, keys)
+    arranged = fresh.hint("rebalance", *[F.col(c) for c in (*lanes, date_column)])
+    arranged.write.mode("overwrite").partitionBy(*lanes, date_column).parquet(f"{path}/batch={batch}")

@@ -1,266 +1,88 @@
-"""Table maintenance as Spark jobs over the ledger. Nothing here reads the clock:
-the caller passes ``as_of``, frozen once per cycle."""
+"""Backfill of external bundles, and the health report. Nothing here reads the clock: the
+caller passes ``as_of``."""
 
 from __future__ import annotations
 
-import logging
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
-from tidemark import schemas
-from tidemark.functions.text import one_slash, storage_path
-from tidemark.operators import consumers, files, reports
+from tidemark.functions.text import storage_path
+from tidemark.operators import consumers, files
 from tidemark.operators.ordered import running_stats
-from tidemark.plans.lake import RawEventTable, write_options
-from tidemark.session import settle
+from tidemark.plans.lake import RawEventTable, path_exists
 from tidemark.sources.tables import read_bundles
 
-log = logging.getLogger(__name__)
-
-PARTITION = schemas.PARTITION_COLUMNS
-
-# Files one rewrite job takes; the rest wait for the next cycle. Their paths are
-# handed to the reader, so this also bounds what the driver holds.
-FILES_PER_JOB = 10_000
-
-
-@dataclass
-class Settings:
-    retention_seconds: int = fv.RETENTION_SECONDS
-    staleness_seconds: int = fv.STALENESS_SECONDS
-    orphan_seconds: int = fv.ORPHAN_SECONDS
-    delete_threshold: float = fv.DELETE_THRESHOLD
-    target_bytes: int = 512 << 20
-    memory_limit: str = ""
-    merge_pin: int = 0
-    delete_files: bool = False
-
-    def __post_init__(self) -> None:
-        if self.staleness_seconds >= self.retention_seconds:
-            raise ValueError("staleness must be below retention")
+REGISTERED = "path string, snapshot_id bigint, batch string"
 
 
 def _ts(value: datetime) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-# ---- rewrites ---------------------------------------------------------------
-
-
-def _paths(rows: DataFrame, path: Column) -> list[str]:
-    """At most FILES_PER_JOB paths for a reader."""
-    return [r[0] for r in rows.select(path).limit(FILES_PER_JOB).collect()]
-
-
-def _rewrite(table: RawEventTable, chosen: DataFrame, kind: str, as_of: datetime, options: dict) -> int | None:
-    """Write the visible rows of the chosen files again, then swap them in the ledger.
-
-    ``chosen`` has path, the partition columns and ``group_no``; all files of a group
-    go to one task, sorted, so a group becomes one file per partition.
-    """
-    spark = table.spark
-    chosen = settle(chosen.limit(FILES_PER_JOB))
-    paths = _paths(chosen, storage_path(F.col("path")))
-    if not paths:
-        return None
-    snapshot_id = table.head() + 1
-    rows = (
-        spark.read.schema(schemas.TABLE_ROWS)
-        .option("basePath", table.data)
-        .parquet(*paths)
-        .select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row_index"))
-    )
-    marks = table.deletes()
-    if marks.head(1):
-        gone = marks.select(F.col("file_path").alias("path"), "row_index")
-        rows = rows.join(gone, ["path", "row_index"], "left_anti")
-    groups = chosen.select("path", "group_no")
-    # One row per path, at most FILES_PER_JOB of them: a checked size.
-    placed = rows.join(F.broadcast(groups), "path")
-    n_groups = chosen.select("group_no").distinct().count()
-    arranged = (
-        placed.repartition(n_groups, "group_no")
-        .sortWithinPartitions(*PARTITION, "subject", "time")
-        .select(*schemas.RAW_EVENT_COLUMNS, "snapshot_id", "ingest_time", "year", "month", "day")
-    )
-    path = f"{table.data}/commit={snapshot_id}"
-    writer = arranged.write.mode("overwrite").partitionBy(*PARTITION)
-    writer.options(**{**write_options(), **options}).parquet(path)
-    written = table.inventory(path)
-    total = written.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-    removed = table.live_files().join(F.broadcast(chosen.select("path")), "path", "left_semi")
-    table.record(written, table.snapshot_row(snapshot_id, as_of, kind, total), snapshot_id, settle(removed))
-    return snapshot_id
-
-
-def _group_numbers(plan: DataFrame, columns: list[str]) -> DataFrame:
-    """A group id from its columns; equal groups agree without ordering them."""
-    return plan.withColumn("group_no", F.xxhash64(*columns))
-
-
-def compaction_plan(table: RawEventTable, settings: Settings) -> DataFrame:
-    live = table.live_files()
-    backlog = files.file_backlog(live.withColumn("table_name", F.lit("raw_events")))
-    limit = files.merge_group_limit(backlog, settings.memory_limit, settings.merge_pin).first()[0]
-    return files.plan_compaction(live, PARTITION, settings.target_bytes, limit)
-
-
-def compact(table: RawEventTable, as_of: datetime, settings: Settings | None = None, **options: str) -> int | None:
-    """Merge groups of small files; None when nothing is left to merge."""
-    plan = compaction_plan(table, settings or Settings())
-    chosen = _group_numbers(plan, [*PARTITION, "size_slot", "count_slot"])
-    # Whole groups only: the cut below the job bound follows the group order.
-    chosen = chosen.orderBy(*PARTITION, "size_slot", "count_slot", "path")
-    return _rewrite(table, chosen, "compact", as_of, options)
-
-
-def rewrite_delete_heavy(
-    table: RawEventTable, as_of: datetime, threshold: float = fv.DELETE_THRESHOLD, **options: str
-) -> int | None:
-    """Rewrite files whose deleted share reaches the threshold, live rows only."""
-    if threshold < 0:
-        return None
-    deletes = table.deletes().withColumnRenamed("file_path", "path")
-    heavy = files.delete_heavy(table.live_files(), deletes, threshold)
-    return _rewrite(table, _group_numbers(heavy, ["path"]), "rewrite", as_of, options)
-
-
-def relayout(table: RawEventTable, as_of: datetime, **options: str) -> int | None:
-    """Rewrite files whose rows are out of order or outside their date; at most
-    FILES_PER_JOB per call, the rest in the next one."""
-    audit = reports.layout_audit(table.stored())
-    wrong = audit.where("unsorted_rows > 0 OR misplaced_rows > 0").select(F.col("file_path").alias("path"))
-    chosen = settle(table.live_files().join(wrong, "path", "left_semi").limit(FILES_PER_JOB))
-    if not chosen.head(1):
-        return None
-    snapshot_id = table.head() + 1
-    rows = table.stored().join(F.broadcast(chosen.select(F.col("path").alias("file_path"))), "file_path", "left_semi")
-    written = table.write_files(
-        rows.select(*schemas.RAW_EVENT_COLUMNS, "snapshot_id", "ingest_time"), snapshot_id, "range", **options
-    )
-    total = written.agg(F.sum("rows")).first()[0]
-    table.record(written, table.snapshot_row(snapshot_id, as_of, "relayout", total), snapshot_id, chosen)
-    return snapshot_id
+# ---- backfill ---------------------------------------------------------------
 
 
-# ---- backfill ---------------------------------------------------------------
+def registered(table: RawEventTable) -> DataFrame:
+    """External files with the snapshot and the batch that hold them."""
+    path = f"{table.root}/backfilled"
+    if not path_exists(table.spark, path):
+        return table.spark.createDataFrame([], REGISTERED)
+    return table.spark.read.schema(REGISTERED).parquet(path)
 
 
 def backfill(
-    table: RawEventTable,
-    listed: DataFrame,
-    as_of: datetime,
-    cap: int = fv.FILES_PER_SNAPSHOT,
-    **options: str,
+    table: RawEventTable, listed: DataFrame, as_of: datetime, cap: int = fv.FILES_PER_SNAPSHOT, **options: str
 ) -> dict[str, int]:
     """Bring external files into the layout; a rerun registers nothing.
 
-    ``listed`` has ``path``. Each batch of at most ``cap`` files of one prefix is its
-    own snapshot, all written by one job. Returns registered and skipped counts.
+    ``listed`` has ``path``. Files of one prefix get snapshots of at most ``cap`` files. The
+    new files are registered first, as one batch; then its folder is written. A run that
+    stopped in between left a registered batch without a finished folder, and the next run
+    writes exactly that batch again. Returns registered and skipped counts.
     """
-    known = table._log("backfilled", "path string, snapshot_id bigint")
+    known = registered(table)
     parquet = listed.where(F.col("path").endswith(".parquet")).select("path").distinct()
-    # Files are numbered once; batches are then dealt to jobs of about FILES_PER_JOB.
-    plan = settle(files.registration_batches(files.new_files(parquet, known), cap))
-    sizes = plan.groupBy("prefix", "batch").agg(F.count("*").alias("files"))
-    numbered = running_stats(sizes, [], ["prefix", "batch"], number="number", running={"upto": "files"})
-    job = F.floor((F.col("upto") - F.col("files")) / FILES_PER_JOB).cast("long")
-    base = table.head()
-    batches = settle(numbered.select("prefix", "batch", job.alias("job"), (F.col("number") + base).alias("snapshot_id")))
-    placed = settle(plan.join(batches, ["prefix", "batch"]).select("path", "job", "snapshot_id"))
-    total, n_jobs = placed.agg(F.count("*"), F.max("job") + 1).first()
-    for number in range(n_jobs or 0):
-        _backfill_job(table, placed.where(F.col("job") == number), as_of, options)
+    plan = files.registration_batches(files.new_files(parquet, known), cap)
+    base = known.agg(F.coalesce(F.max("snapshot_id"), F.lit(0))).first()[0]
+    sizes = plan.select("prefix", "batch").distinct()
+    numbers = running_stats(sizes, [], ["prefix", "batch"], number="number")
+    placed = plan.join(numbers, ["prefix", "batch"])
+    run = known.select("batch").distinct().count()
+    rows = placed.select("path", (F.col("number") + base).alias("snapshot_id"), F.lit(f"backfill-{run}").alias("batch"))
+    total = parquet.join(known.select("path"), "path", "left_anti").count()
+    if total:
+        rows.write.mode("append").parquet(f"{table.root}/backfilled")
+    for batch in [r[0] for r in registered(table).select("batch").distinct().collect()]:
+        if not path_exists(table.spark, f"{table.data}/batch={batch}/_SUCCESS"):
+            _write_batch(table, registered(table).where(F.col("batch") == batch), batch, as_of, options)
     return {"registered": total, "skipped": parquet.count() - total}
 
 
-def _backfill_job(table: RawEventTable, placed: DataFrame, as_of: datetime, options: dict) -> None:
-    """One write for the files of one job; bounded by FILES_PER_JOB plus one batch."""
-    paths = [r[0] for r in placed.select("path").collect()]
+def _write_batch(table: RawEventTable, placed: DataFrame, batch: str, as_of: datetime, options: dict) -> None:
+    """One job for the files of a batch. The driver holds their paths, as any reader does."""
+    paths = [r[0] for r in placed.select("path").toLocalIterator()]
     # The reader reports a file with its scheme; match on the bare path.
     bare = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
     rows = (
         read_bundles(table.spark, paths)
         .withColumn("_path", bare(storage_path(F.col("path"))))
-        .drop("path")
-        .join(F.broadcast(placed.select(bare(F.col("path")).alias("_path"), "snapshot_id")), "_path")
-        .drop("_path")
+        .join(placed.select(bare(F.col("path")).alias("_path"), "snapshot_id"), "_path")
+        .drop("_path", "path")
         .withColumn("ingest_time", _ts(as_of))
     )
-    last = placed.agg(F.max("snapshot_id")).first()[0]
-    written = table.write_files(rows, last, "range", **options)
-    per_snapshot = rows.groupBy("snapshot_id").agg(F.count("*").alias("rows"))
-    snapshots = placed.select("snapshot_id").distinct().join(per_snapshot, "snapshot_id", "left").select(
-        "snapshot_id",
-        _ts(as_of).alias("snapshot_time"),
-        F.lit(last).cast("long").alias("commit"),
-        F.lit("backfill").alias("kind"),
-        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-        F.lit(None).cast("string").alias("batch"),
-    )
-    table.record(written, snapshots, last)
-    table._append_log("backfilled", placed.select("path", "snapshot_id"))
-
-
-# ---- expiry and clean-up ----------------------------------------------------
-
-
-def expire(table: RawEventTable, cutoff: datetime) -> int:
-    """Expire snapshots before the cutoff; returns how many. The newest always stays."""
-    retained = consumers.expire_snapshots(table.snapshots(), _ts(cutoff))
-    before = table.snapshots().count()
-    oldest, kept = retained.agg(F.min("snapshot_id"), F.count("*")).first()
-    if oldest is None or kept == before:
-        return 0
-    # Commit times do not decrease with the id, so the retained ids are a suffix.
-    table._append_log("expiry", table.spark.createDataFrame([(oldest,)], "snapshot_id bigint"))
-    return before - kept
-
-
-def cleanup_candidates(table: RawEventTable) -> DataFrame:
-    """Ledger rows of removed files no retained snapshot needs, with ``storage_path``."""
-    found = files.unreferenced_files(table.data_files(), table.snapshots())
-    return found.withColumn("storage_path", storage_path(F.col("path")))
+    table.write(rows, batch, layout="range", **options)
 
 
 def table_listing(table: RawEventTable) -> DataFrame:
-    """Data files on storage; ``path`` is the storage path."""
+    """Data files of the table on storage: path, size, modification time."""
     listed = files.list_objects(table.spark, table.data)
-    return listed.where(F.col("key").endswith(".parquet")).withColumn("path", one_slash(F.col("path")))
+    return listed.where(F.col("key").endswith(".parquet"))
 
 
-def orphan_candidates(table: RawEventTable, as_of: datetime, window: int = fv.ORPHAN_SECONDS) -> DataFrame:
-    """Old files on storage no ledger row refers to, with ``storage_path``."""
-    known = table.data_files().select(storage_path(F.col("path")).alias("path"))
-    found = files.orphan_files(table_listing(table), known, _ts(as_of), window)
-    return found.withColumnRenamed("path", "storage_path")
-
-
-def delete_paths(table: RawEventTable, candidates: DataFrame, snapshot_id: int) -> int:
-    """Delete files by ``storage_path``; ledger files are also marked as deleted there.
-    Irreversible: callers opt in.
-
-    Deletion is one metadata call per file; a call takes at most FILES_PER_JOB.
-    """
-    spark = table.spark
-    columns = [f.split(" ")[0] for f in schemas.FILES.split(", ")]
-    doomed = settle(candidates.limit(FILES_PER_JOB))
-    n = 0
-    for row in doomed.select("storage_path").toLocalIterator():
-        target = spark._jvm.org.apache.hadoop.fs.Path(row[0])
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, False)
-        n += 1
-    if n and "added_snapshot" in doomed.columns:
-        gone = doomed.withColumns({"action": F.lit("delete"), "snapshot_id": F.lit(snapshot_id).cast("long")})
-        table._append_log("files", gone.select(*columns))
-    return n
-
-
-# ---- health and the cycle ---------------------------------------------------
+# ---- health -----------------------------------------------------------------
 
 
 def health_report(
@@ -299,65 +121,3 @@ def health_report(
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
-
-
-def maintenance_cycle(
-    table: RawEventTable, progress_log: DataFrame, as_of: datetime, settings: Settings | None = None
-) -> tuple[DataFrame, Exception | None]:
-    """One pass: health, frozen cutoff, rewrite, compact, expire, clean up, sweep.
-
-    A failing step does not stop the independent ones; returns the report of steps
-    (step, outcome, detail) and the first error.
-    """
-    settings = settings or Settings()
-    steps: list[tuple[str, str, str]] = []
-    first_error: Exception | None = None
-
-    def run(name: str, job):
-        nonlocal first_error
-        try:
-            result = job()
-            steps.append((name, "done", str(result)))
-            return result
-        except Exception as error:  # noqa: BLE001 - one step must not stop the others
-            log.exception("maintenance step %s failed", name)
-            steps.append((name, "failed", str(error)))
-            first_error = first_error or error
-            return None
-
-    progress = consumers.latest_progress(progress_log)
-    now = _ts(as_of)
-
-    def health() -> str:
-        live = table.live_files().withColumn("table_name", F.lit("raw_events"))
-        report = health_report(
-            table.snapshots(), progress, live, now, settings.retention_seconds, settings.staleness_seconds
-        )
-        return ",".join(sorted({r["check"] for r in report.where("breached").select("check").distinct().collect()}))
-
-    def freeze() -> datetime:
-        cutoff = consumers.expire_cutoff(
-            table.snapshots(), progress, now, settings.retention_seconds, settings.staleness_seconds
-        )
-        return cutoff.first()["cutoff"]
-
-    run("health", health)
-    cutoff = run("expire_cutoff", freeze)
-    run("rewrite_delete_heavy", lambda: rewrite_delete_heavy(table, as_of, settings.delete_threshold))
-    run("compact", lambda: compact(table, as_of, settings))
-    if cutoff is not None:
-        run("expire_snapshots", lambda: expire(table, cutoff))
-
-    def clean() -> int:
-        found = cleanup_candidates(table)
-        return delete_paths(table, found, table.head()) if settings.delete_files else found.count()
-
-    def sweep() -> int:
-        found = orphan_candidates(table, as_of, settings.orphan_seconds)
-        return delete_paths(table, found, table.head()) if settings.delete_files else found.count()
-
-    run("cleanup_files", clean)
-    if settings.orphan_seconds >= 0:
-        run("sweep_orphans", sweep)
-    report = table.spark.createDataFrame(steps, "step string, outcome string, detail string")
-    return report, first_error

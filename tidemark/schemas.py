@@ -45,7 +45,7 @@ TABLE_ROWS = T.StructType(
     + [
         T.StructField("snapshot_id", T.LongType()),
         T.StructField("ingest_time", T.TimestampType()),
-        T.StructField("commit", T.LongType()),
+        T.StructField("batch", T.StringType()),
         T.StructField("year", T.IntegerType()),
         T.StructField("month", T.IntegerType()),
         T.StructField("day", T.IntegerType()),
@@ -60,12 +60,6 @@ WIRE_MESSAGES = T.StructType(
     ]
 )
 
-SNAPSHOTS = "snapshot_id bigint, snapshot_time timestamp, commit bigint, kind string, rows bigint, batch string"
-FILES = (
-    "path string, type string, year int, month int, day int, bytes bigint, rows bigint, "
-    "action string, snapshot_id bigint"
-)
-DELETES = "file_path string, row_index bigint, snapshot_id bigint"
 CONSUMER_PROGRESS = "consumer string, snapshot_id bigint, updated_at timestamp"
 
 SIGNAL = "struct<name:string,timestamp:timestamp,value:double,location:struct<lat:double,lon:double,hdop:double>>"

@@ -42,13 +42,16 @@ def local_session(cores: str = "8", name: str = "tidemark", **extra: str) -> Spa
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
+    """The shared folder the cluster names. Only a local master may go without one, as then
+    all tasks see this machine's temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -61,10 +64,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a small input has fewer splits than cores, for work
-    that is heavy per row. Inputs with enough splits are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Rows over all cores, for work that is heavy per row on inputs of few splits."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -25,6 +25,28 @@ NAMED_FIELDS = HEADER_FIELDS + ["time", "tags", "data", "data_base64"]
 RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})\z"
 
 
+# Numbers outside strings are marked before the parse and unmarked after it, as the parser
+# writes a nested number as a double. The mark is a code point that is no character; a
+# message that holds it all the same is parsed unmarked.
+_MARK = "\ufdd0"
+_STRING_OR_NUMBER = (
+    r'("[^"\\]*+(?:\\.[^"\\]*+)*+")'
+    r"|(?<![\w.+-])(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?)(?![\w.+-])(?!\s*:)"
+)
+
+
+def _marked_numbers(value: Column) -> Column:
+    """Every number as a string between marks."""
+    both = F.regexp_replace(value, _STRING_OR_NUMBER, f"$1{_MARK}$2{_MARK}")
+    numbers = F.regexp_replace(both, f"{_MARK}{_MARK}", "")
+    return F.regexp_replace(numbers, f"{_MARK}([^{_MARK}]+){_MARK}", f'"{_MARK}$1{_MARK}"')
+
+
+def _unmarked(text: Column) -> Column:
+    """Numbers as they were written."""
+    return F.translate(F.regexp_replace(text, f'"{_MARK}([^{_MARK}"]+){_MARK}"', "$1"), _MARK, "")
+
+
 def _data_text(value: Column, data: Column) -> Column:
     """Payload as JSON text. The map parse drops the quotes of a JSON string, so the
     few messages whose data is a string are restored from a variant parse."""
@@ -54,10 +76,11 @@ def parse_envelopes(
     are not a list.
     """
     body = F.col(value)
-    parsed = messages.withColumn("_fields", F.from_json(body, "map<string,string>"))
+    whole = F.when(F.contains(body, F.lit(_MARK)), body).otherwise(_marked_numbers(body))
+    parsed = messages.withColumn("_fields", F.from_json(whole, "map<string,string>"))
     fields = F.col("_fields")
-    time_text = F.element_at(fields, "time")
-    tags_text = F.element_at(fields, "tags")
+    time_text = _unmarked(F.element_at(fields, "time"))
+    tags_text = _unmarked(F.element_at(fields, "tags"))
     tags = F.from_json(tags_text, "array<string>")
     time = F.when(time_text.rlike(RFC3339), time_text.try_cast("timestamp"))
     bad = (
@@ -65,11 +88,11 @@ def parse_envelopes(
         | (time_text.isNotNull() & time.isNull())
         | (tags_text.isNotNull() & tags.isNull())
     )
-    columns = {name: F.element_at(fields, name) for name in HEADER_FIELDS}
+    columns = {name: _unmarked(F.element_at(fields, name)) for name in HEADER_FIELDS}
     columns["time"] = time
     columns["tags"] = tags
-    columns["data"] = _data_text(body, F.element_at(fields, "data"))
-    columns["data_base64"] = F.element_at(fields, "data_base64")
+    columns["data"] = _data_text(body, _unmarked(F.element_at(fields, "data")))
+    columns["data_base64"] = _unmarked(F.element_at(fields, "data_base64"))
     columns["extras"] = _extras_text(body, fields)
     if headers is not None:
         columns["data_index_key"] = F.element_at(F.col(headers), fv.HEADER_DATA_INDEX_KEY)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -14,28 +15,88 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidemark import fixed_values as fv
 from tidemark.functions import identity
 from tidemark.operators import decode, normalize, payloads
+from tidemark.operators.attest import normalize_attestations
+from tidemark.operators.dedup import keep_latest
 from tidemark.plans.lake import RawEventTable, append_decoded, quarantine
 from tidemark.sources.envelopes import parse_envelopes, split_rejects
 
 
-def normalized(messages: DataFrame) -> DataFrame:
-    """Parse and validate messages; rejected rows carry ``reject_reason``."""
-    checked = normalize.validate_connection(parse_envelopes(messages))
-    gate = F.coalesce("reject_reason", normalize.fingerprint_gate(), normalize.poison_fault())
-    return checked.withColumn("reject_reason", gate)
+ORIGINS = (CONNECTION, ATTESTATION, PAYLOAD) = ("connection", "attestation", "payload")
+
+
+def parsed(messages: DataFrame) -> DataFrame:
+    """Parse messages; ``headers`` may say the ``origin`` (by default a connection), the
+    authenticated ``caller`` and, for attestations, whether the signature holds."""
+    header = lambda name: F.element_at(F.col("headers"), name)
+    out = parse_envelopes(messages).withColumns(
+        {
+            "origin": F.coalesce(header("origin"), F.lit(CONNECTION)),
+            "caller": header("caller"),
+            "signature_valid": F.coalesce(header("signature-valid") == "true", F.lit(False)),
+        }
+    )
+    unknown = F.when(~F.col("origin").isin(*ORIGINS), F.lit("unknown_origin"))
+    return out.withColumn("reject_reason", F.coalesce("reject_reason", unknown))
 
 
 def dedup_arrivals(events: DataFrame, window: str = "2 minutes") -> DataFrame:
-    """First arrival of each event key inside the arrival window. The watermark is on
-    the arrival time, never the event time, so old events are not dropped as late.
-    A rejected message has no dependable key, so its whole text is its key."""
+    """First arrival of each message inside the arrival window.
+
+    The window runs on the time at which a micro-batch takes the row, which never goes
+    back, so no row is ever late: old events, slow partitions and backlogs all pass. Copies
+    outside the window are left to the reader (``dedup_latest``).
+    """
     whole_text = F.sha2(F.coalesce("value", F.lit("")), 256)
-    keyed = events.withColumn(
-        "_message_id",
-        F.when(F.col("reject_reason").isNull(), identity.message_id()).otherwise(whole_text),
+    own_id = F.when(F.col("reject_reason").isNull() & (F.col("origin") != PAYLOAD), identity.message_id())
+    keyed = events.withColumns(
+        {"_message_id": F.concat_ws("|", "origin", F.coalesce(own_id, whole_text)), "_taken": F.current_timestamp()}
     )
+    once = keyed.withWatermark("_taken", window).dropDuplicatesWithinWatermark(["_message_id"])
+    return once.drop("_message_id", "_taken")
+
+
+def normalized(events: DataFrame) -> DataFrame:
+    """Parsed messages of every origin to events; rejected rows carry ``reject_reason``.
+
+    A payload message has an array of headers and becomes one event each, or is rejected
+    whole; the other origins are one event each."""
+    connection = normalize.validate_connection(events.where(F.col("origin").isNull() | ~F.col("origin").isin(ATTESTATION, PAYLOAD)))
+    attested = normalize_attestations(events.where(F.col("origin") == ATTESTATION))
+    array = F.from_json("value", f"headers array<{normalize.HEADER}>")["headers"]
+    payloads_in = events.where(F.col("origin") == PAYLOAD).withColumns(
+        {"payload_id": F.sha2("value", 256), "source": F.col("caller"), "body": F.col("value"), "message_headers": F.col("headers")}
+    )
+    sound = payloads_in.where("reject_reason IS NULL").withColumn("headers", array)
+    fanned, rejected = normalize.fan_out(sound.select("payload_id", "source", "headers", "data", "body", "ingest_time"))
+    # A rejected payload is set aside as it came.
+    whole = payloads_in.drop("reject_reason").join(rejected.select("payload_id", "reject_reason").distinct(), "payload_id")
+    broken = payloads_in.where("reject_reason IS NOT NULL")
+    back = whole.unionByName(broken).select(*events.columns)
+    every = connection.unionByName(attested, allowMissingColumns=True)
+    every = every.unionByName(fanned, allowMissingColumns=True).unionByName(back, allowMissingColumns=True)
+    gate = F.coalesce("reject_reason", normalize.fingerprint_gate(), normalize.poison_fault())
+    return every.withColumn("reject_reason", gate)
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of this checkpoint. It survives restarts and is new
+    for a new checkpoint, so it names batches without ever reusing a name."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
+def _start(rows: DataFrame, write, checkpoint: str, query: str, trigger: dict | None) -> StreamingQuery:
+    """Run ``write(batch, name)`` per micro-batch; a replayed batch has the same name."""
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        write(batch, f"{query}-{checkpoint_id(batch.sparkSession, checkpoint)}-{batch_id}")
+
     return (
-        keyed.withWatermark("ingest_time", window).dropDuplicatesWithinWatermark(["_message_id"]).drop("_message_id")
+        rows.writeStream.foreachBatch(named)
+        .option("checkpointLocation", checkpoint)
+        .queryName(query)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
     )
 
 
@@ -49,53 +110,52 @@ def ingest_query(
     dedup_window: str | None = "2 minutes",
     **write_options: str,
 ) -> StreamingQuery:
-    """Messages to blobs, raw rows and quarantine, one snapshot per micro-batch.
+    """Messages of all origins to blobs, raw rows and quarantine.
 
-    A replayed micro-batch is recognised by its name in the ledger. Blobs and
-    quarantine are keyed by the batch too, so writing them again replaces them.
+    Every micro-batch owns one folder of each, named by the checkpoint's id and the batch
+    number: written again it replaces itself, and a new checkpoint never meets old names.
+    Accepted and rejected rows together are all rows of the batch.
     """
-    events = normalized(messages)
+    arrivals = parsed(messages)
     if dedup_window:
-        events = dedup_arrivals(events, dedup_window)
+        arrivals = dedup_arrivals(arrivals, dedup_window)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        name = f"{query}-{batch_id}"
-        if table.all_snapshots().where(F.col("batch") == name).head(1):
-            # The deduplication state still has to be advanced by this batch.
-            batch.write.format("noop").mode("append").save()
-            return
+    def write(batch: DataFrame, name: str) -> None:
+        # The batch is taken from the stream once, and its events are made once.
         batch = batch.persist()
+        events = normalized(batch).persist()
         try:
-            accepted, rejected = split_rejects(batch)
+            accepted, rejected = split_rejects(events)
             stored, blobs, faults = payloads.split_payloads(accepted, threshold)
             blobs.write.mode("overwrite").parquet(f"{table.root}/blobs/batch={name}")
             both = rejected.unionByName(faults, allowMissingColumns=True)
             quarantine(both, f"{table.root}/quarantine/batch={name}", "overwrite")
-            table.append(normalize.to_raw_row(stored), _now(), batch=name, **write_options)
+            now = _now()
+            table.write(normalize.to_raw_row(stored), name, int(now.timestamp() * 1000), now, **write_options)
         finally:
+            events.unpersist()
             batch.unpersist()
 
-    return (
-        events.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .queryName(query)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start()
-    )
+    return _start(arrivals, write, checkpoint, query, trigger)
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def blobs_of(table: RawEventTable) -> DataFrame:
     return table.spark.read.schema("data_index_key string, payload binary, batch string").parquet(f"{table.root}/blobs")
 
 
-def append_lanes(packed: DataFrame, target: str) -> None:
+def write_lanes(packed: DataFrame, target: str, batch: str) -> None:
     """One lane per name token, below it one folder per event date."""
     dated = packed.withColumn("event_date", F.to_date("header.time"))
-    append_decoded(dated, target, ["dedup_id"], "event_date", ("name_token",))
+    append_decoded(dated, target, batch, ["dedup_id"], "event_date", ("name_token",))
+
+
+def read_lanes(spark: SparkSession, target: str) -> DataFrame:
+    """Decoded rows of all batches, each id once."""
+    return keep_latest(spark.read.parquet(target), ["dedup_id"], ["batch"])
 
 
 def decode_query(
@@ -106,21 +166,18 @@ def decode_query(
     contract: str,
     query: str = "decode",
     trigger: dict | None = None,
+    errors: str | None = None,
 ) -> StreamingQuery:
-    """Raw rows to packed signals, one lane per name token. Ids are replay-safe: a
-    micro-batch that runs again inserts nothing twice."""
+    """Raw rows to packed signals, one lane per name token. What could not be decoded goes
+    to ``errors`` (by default beside the target), one row per event and reason."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        packed = decode.decode_packed(batch, chain, contract, F.col("ingest_time"))
-        append_lanes(packed, target)
+    def write(batch: DataFrame, name: str) -> None:
+        as_of = F.col("ingest_time")
+        write_lanes(decode.decode_packed(batch, chain, contract, as_of), target, name)
+        faults = decode.decode_faults(batch, chain, contract, as_of)
+        faults.write.mode("overwrite").parquet(f"{errors or target.rstrip('/') + '-errors'}/batch={name}")
 
-    return (
-        raw_rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .queryName(query)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start()
-    )
+    return _start(raw_rows, write, checkpoint, query, trigger)
 
 
 def decode_events_query(
@@ -128,16 +185,10 @@ def decode_events_query(
 ) -> StreamingQuery:
     """The same for vehicle events."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        append_lanes(decode.decode_packed_events(batch), target)
+    def write(batch: DataFrame, name: str) -> None:
+        write_lanes(decode.decode_packed_events(batch), target, name)
 
-    return (
-        raw_rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .queryName(query)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start()
-    )
+    return _start(raw_rows, write, checkpoint, query, trigger)
 
 
 def throttle_stream(rows: DataFrame, key: str, time: Column, interval_seconds: int = 3600) -> DataFrame:
