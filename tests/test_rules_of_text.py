@@ -26,6 +26,7 @@ def test_address_forms(spark):
     assert evaluate(spark, cases, checks.address_ok) == [True, True, True, False, False, False, False]
 
 
+# The outcomes that state the rule.
 @pytest.mark.parametrize(
     "vin,ok",
     [
@@ -43,43 +44,36 @@ def test_vin(spark, vin, ok):
 
 
 def test_lat_lon(spark):
-    nan, inf = math.nan, math.inf
-    cases = [
-        (37.7749, -122.4194, True),
-        (0.0, 0.0, False),
-        (90.001, 10.0, False),
-        (-90.001, 10.0, False),
-        (10.0, 180.001, False),
-        (10.0, -180.001, False),
-        (nan, 10.0, False),
-        (10.0, nan, False),
-        (inf, 10.0, False),
-        (10.0, -inf, False),
-        (90.0, 180.0, True),
-        (-90.0, -180.0, True),
-    ]
+    """Each bound, one step to either side of it, and what is no number, by rule."""
+    step = 1e-6
+    cases = []
+    for axis, bound in ((0, 90.0), (1, 180.0)):
+        for sign in (1, -1):
+            for moved, ok in ((0.0, True), (-step, True), (step, False)):
+                pair = [12.5, 12.5]
+                pair[axis] = sign * (bound + moved)
+                cases.append((*pair, ok))
+        for odd in (math.nan, math.inf, -math.inf, None):
+            pair = [12.5, 12.5]
+            pair[axis] = odd
+            cases.append((*pair, False))
+    # Only both at zero together mean "no position".
+    cases += [(-0.0, 0.0, False), (0.0, step, True), (step, 0.0, True)]
     rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, lat double, lon double, want boolean")
     got = rows.select("want", checks.valid_lat_lon(F.col("lat"), F.col("lon")).alias("got"))
     assert got.where("want <> got").count() == 0
 
 
 def test_parse_size(spark):
-    cases = {
-        "": 0,
-        "1073741824": 1 << 30,
-        "512MB": 512 << 20,
-        "512mb": 512 << 20,
-        " 1GB ": 1 << 30,
-        "2GiB": 2 << 30,
-        "4KB": 4 << 10,
-        "1TB": 1 << 40,
-        "1.5GB": 3 << 29,
-        "80%": 0,
-        "garbage": 0,
-        "-5MB": 0,
-        "7b": 7,
-        "3 MiB": 3 << 20,
-    }
+    """Every unit in every spelling, with a whole and a broken number; the rest is 0."""
+    cases = {}
+    for power, unit in enumerate(("b", "k", "m", "g", "t")):
+        spellings = ("b",) if unit == "b" else (f"{unit}b", f"{unit}ib")
+        for spelling in spellings:
+            for written in (spelling, spelling.upper()):
+                cases[f"6{written}"] = 6 * 1024**power
+                cases[f"\t2.25 {written}  "] = int(2.25 * 1024**power)
+    cases |= {"4096": 4096, ".5kb": 512, "+6kb": 0, "6 k b": 0, "6k": 0, "kb": 0, "6%": 0, "six": 0, "6pb": 0, "": 0}
     assert evaluate(spark, list(cases), text.parse_size) == list(cases.values())
 
 

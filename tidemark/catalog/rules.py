@@ -36,13 +36,13 @@ SAMPLES = "m AS (SELECT event_type AS series, ts, epoch_us(ts) AS us, CAST(floor
 
 @query(
     "backlog_growing",
-    f"""WITH {SAMPLES}, w AS (SELECT *, us // 7200000000 * 7200 AS window_start FROM m)
-SELECT series, window_start, max(value) AS peak_files, arg_max(value, us) - arg_min(value, us) AS growth,
-       max(value) > 4000 AND arg_max(value, us) > arg_min(value, us) AS breached FROM w GROUP BY ALL""",
+    f"""WITH {SAMPLES}, w AS (SELECT series, us, value, value - first(value) OVER (
+  PARTITION BY series ORDER BY us RANGE BETWEEN 7200000000 PRECEDING AND CURRENT ROW) AS growth FROM m)
+SELECT series, us, value AS current_files, growth, value > 4000 AND growth > 0 AS breached FROM w""",
 )
 def backlog_growing(spark, d):
     out = alerts.backlog_growing(samples(spark, d), "series", "ts", "value", threshold=4000)
-    return out.withColumn("window_start", F.unix_seconds("window_start"))
+    return out.withColumn("us", F.unix_micros("ts")).drop("ts")
 
 
 @query(

@@ -15,20 +15,24 @@ def backlog_growing(
     table: str,
     ts: str,
     files: str,
-    window: str = "2 hours",
+    hours: int = 2,
     threshold: int = fv.BACKLOG_FILES_THRESHOLD,
 ) -> DataFrame:
-    """Per table and window: peak file count, net growth, and whether it is both above
-    the floor and growing."""
-    by_time = lambda agg: agg(F.col(files), F.col(ts))
-    return (
-        samples.groupBy(table, F.window(ts, window)["start"].alias("window_start"))
-        .agg(
-            F.max(files).alias("peak_files"),
-            (by_time(F.max_by) - by_time(F.min_by)).alias("growth"),
-        )
-        .withColumn("breached", (F.col("peak_files") > threshold) & (F.col("growth") > 0))
-    )
+    """Per sample: its count, the growth over the rolling ``hours`` before it (against the
+    oldest sample in them), and whether the count is above the floor and growing.
+
+    A window never spans more than two chunks of ``hours``: every sample is joined, through
+    copies in its own and the following chunk, to what lies within reach, and the window is
+    over (table, chunk), not over a table."""
+    span = hours * 3_600_000_000
+    micros = F.unix_micros(ts)
+    own = samples.select(F.col(table), F.col(ts), F.col(files), micros.alias("_us"), F.floor(micros / span).alias("_chunk"))
+    copies = own.withColumn("_at", F.explode(F.array(F.col("_chunk"), F.col("_chunk") + 1)))
+    recent = Window.partitionBy(table, "_at").orderBy("_us").rangeBetween(-span, Window.currentRow)
+    oldest = F.first(F.struct("_us", files)).over(recent)[files]
+    grown = copies.withColumn("growth", F.col(files) - oldest).where(F.col("_at") == F.col("_chunk"))
+    breached = (F.col(files) > threshold) & (F.col("growth") > 0)
+    return grown.select(table, ts, F.col(files).alias("current_files"), "growth", breached.alias("breached"))
 
 
 def counter_increase(
