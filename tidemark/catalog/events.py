@@ -519,12 +519,45 @@ def did_parts(spark, d):
     )
 
 
-@query("checksum_addresses")
+# The mixed-case examples published with the address checksum.
+_PUBLISHED = [
+    "0x5aAeb6053F3E94C9b9A09f33669435E7Ef1BeAed",
+    "0xfB6916095ca1df60bB79Ce92cE3Ea74c37c5d359",
+    "0xdbF03B407c01E7cD3CBea99509d93f8DDDC8C6FB",
+    "0xD1220A0cf47c7B9Be7A2E6BA89F429762e7b9aDb",
+]
+
+
+@query(
+    "checksum_addresses",
+    f"""SELECT DISTINCT user_id, list_extract({_PUBLISHED}, CAST(user_id % 4 + 1 AS INTEGER)) AS address,
+       true AS same_digits, true AS settled FROM events""",
+)
 def checksum_addresses(spark, d):
-    """EIP-55 forms; checked against published vectors in the tests."""
+    """Published addresses found again from lower case, and for an address of each user's
+    own: the checksum changes letters only, and changes nothing the second time."""
     users = load(spark, d, "events").select("user_id").distinct()
-    address = F.concat(F.lit("0x"), F.substring(F.sha2(F.col("user_id").cast("string"), 256), 1, 40))
-    return users.select("user_id", identity.canonical_address(address).alias("address"))
+    known = F.lower(F.element_at(F.array(*map(F.lit, _PUBLISHED)), (F.col("user_id") % 4 + 1).cast("int")))
+    plain = F.concat(F.lit("0x"), F.substring(F.sha2(F.col("user_id").cast("string"), 256), 1, 40))
+    found = users.select(
+        "user_id", identity.canonical_address(known).alias("address"), plain.alias("plain"), identity.canonical_address(plain).alias("own")
+    )
+    again = identity.canonical_address(F.col("own"))
+    return found.select("user_id", "address", (F.lower("own") == F.col("plain")).alias("same_digits"), (again == F.col("own")).alias("settled"))
+
+
+@query(
+    "header_sizes",
+    """SELECT event_id, length('{"id":"' || event_id || '"}') + length('{"x":"' || repeat('a', CAST(8100 + event_id % 200 AS INTEGER)) || '"}') - 2 <= 8192 AS fits FROM events""",
+)
+def header_sizes(spark, d):
+    """Headers around the size limit."""
+    rows = load(spark, d, "events").select("event_id")
+    header = {name: F.lit(None).cast("string") for name in normalize.HEADER_NAMES}
+    header["id"] = F.col("event_id").cast("string")
+    filler = F.expr("repeat('a', CAST(8100 + event_id % 200 AS INT))")
+    header["extras"] = F.concat(F.lit('{"x":"'), filler, F.lit('"}'))
+    return rows.select("event_id", (normalize.header_bytes(header) <= fv.MAX_HEADER_BYTES).alias("fits"))
 
 
 # ---- payload split ----------------------------------------------------------
@@ -594,7 +627,7 @@ SEAL_KEY = "KioqKioqKioqKioqKioqKioqKioqKioqKioqKioqKio="
 
 @query(
     "seal_and_open",
-    "SELECT doc_id, md5(text) AS digest, true AS sealed, CAST(strlen(text) + 32 AS INTEGER) AS sealed_size, true AS wrong_key_fails FROM documents",
+    "SELECT doc_id, md5(text) AS digest, true AS sealed, CAST(strlen(text) + 32 AS INTEGER) AS sealed_size, true AS wrong_path_fails, true AS wrong_key_fails FROM documents",
 )
 def seal_and_open(spark, d):
     doc = load(spark, d, "documents")
@@ -604,12 +637,14 @@ def seal_and_open(spark, d):
     )
     opened = sealing.open_sealed(F.col("blob"), SEAL_KEY, F.col("aad"))
     moved = sealing.open_sealed(F.col("blob"), SEAL_KEY, F.lit("elsewhere"))
+    other = sealing.open_sealed(F.col("blob"), SEAL_KEY[::-1].strip("=") + "=" * SEAL_KEY.count("="), F.col("aad"))
     return sealed.select(
         "doc_id",
         F.md5(opened).alias("digest"),
         sealing.is_sealed(F.col("blob")).alias("sealed"),
         F.octet_length("blob").alias("sealed_size"),
-        sealing.open_failed(F.col("blob"), moved).alias("wrong_key_fails"),
+        sealing.open_failed(F.col("blob"), moved).alias("wrong_path_fails"),
+        sealing.open_failed(F.col("blob"), other).alias("wrong_key_fails"),
     )
 
 
