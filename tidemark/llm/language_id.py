@@ -26,7 +26,8 @@ SAMPLE_ROWS = 400
 SAMPLE_LETTERS = 120_000
 REMEMBERED_WORDS = 500_000
 
-# Runs of letters; digits, signs and blanks part words.
+# Runs of letters; digits, signs and blanks part words. Numbers that are no digits, such as
+# superscripts, may stand in a word but do not make one.
 WORDS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -104,7 +105,7 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float, float | None]:
         """Language, score, and phrases per letter of the best language."""
-        words = WORDS(text or "")
+        words = [word for word in WORDS(text or "") if word.isalpha() or any(map(str.isalpha, word))]
         if not words or not self.languages:
             return UNKNOWN, 0.0, None
         known, count = self.known.get, self._phrases

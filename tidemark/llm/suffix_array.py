@@ -205,8 +205,8 @@ class Block:
         rows[:, 0] = self.place[runs] - self.first[runs]
         rows[:, 1] = self.count[runs]
         at = np.arange(CONTEXT)
-        for low in range(0, len(runs), 1 << 16):
-            part = runs[low : low + (1 << 16)]
+        for low in range(0, len(runs), 1 << 13):
+            part = runs[low : low + (1 << 13)]
             where = np.minimum(self.first[part, None] + at, len(self.data) - 1)
             rows[low : low + len(part), 4:] = np.where(at < size[low : low + len(part), None], self.data[where], 0)
         if not len(runs):
