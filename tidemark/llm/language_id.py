@@ -23,8 +23,8 @@ UNKNOWN = "und"
 FOLDS = 5
 # Bounds of the labelled sample: rows and distinct words of a language that are learned.
 SAMPLE_ROWS = 400
-SAMPLE_LETTERS = 120_000
-REMEMBERED_WORDS = 500_000
+SAMPLE_LETTERS = 40_000
+REMEMBERED_WORDS = 300_000
 
 # Runs of letters; digits, signs and blanks part words. Numbers that are no digits, such as
 # superscripts, may stand in a word but do not make one.
@@ -182,6 +182,8 @@ def identify(
             languages, scores, rates = ([f[i] for f in found] for i in range(3))
             columns = [*batch.columns, pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
+        # The worker may go on to other stages: it keeps nothing of this one.
+        _MODELS.clear()
 
     schema = T.StructType([*base.schema.fields])
     schema = schema.add(names[0], "string").add(names[1], "double").add(names[2], "double")

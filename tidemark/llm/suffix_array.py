@@ -1,14 +1,15 @@
 """Repeated byte strings of 50 bytes and more, by sorted suffixes.
 
 Every 50-byte window names one of its 16-byte strings, the one with the least hash, as its
-anchor, so equal windows anywhere have the same anchor at the same place. That splits the
-suffixes of the corpus into classes that can be sorted apart, and most anchors occur in one
-document only and drop out before any text moves:
+anchor, so equal windows anywhere have the same anchor at the same place. Of the 34 other
+bytes at least 17 lie on one side of it; the anchor with these is the window's key. That
+splits the suffixes of the corpus into classes that can be sorted apart, and most keys occur
+in one document only and drop out before any text moves:
 
-1. every block of documents sends the hashes of its anchors to their buckets;
+1. every block of documents sends the hashes of its keys to their buckets;
 2. a bucket answers, for every block, which of them occur in two documents;
-3. a block sends the text around those anchors, equal text once, with its smallest id;
-4. a bucket sorts the windows of equal anchors and answers the smallest id of each;
+3. a block sends the text around those keys, equal text once, with its smallest id;
+4. a bucket sorts the windows of equal keys and answers the smallest id of each;
 5. a block removes the windows that a smaller id has.
 
 Sorting is deep-shallow: multikey quicksort by machine words to a shallow depth, then blind
@@ -33,7 +34,9 @@ WINDOW = 50
 ANCHOR = 16
 GRAMS = WINDOW - ANCHOR + 1  # anchors a window can choose from
 SHALLOW_WORDS = 2  # 8-byte words that are sorted before blind tries begin
-CONTEXT = 2 * WINDOW - ANCHOR  # longest text whose windows share an anchor
+SIDE = (WINDOW - ANCHOR) // 2  # bytes beside the anchor that a key has, one more on the left
+KEY = ANCHOR + SIDE + 1
+CONTEXT = WINDOW + SIDE  # longest text whose windows share a key
 ROW = CONTEXT + 4  # a context with its anchor place and window count
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
@@ -140,8 +143,8 @@ def _least(values: np.ndarray, span: int) -> np.ndarray:
 
 
 def anchor_runs(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor: first window, number of windows, anchor's place and
-    its hash. ``begins`` are the texts' first bytes in ``data`` and its length. Long data
+    """Runs of windows with one key: first window, number of windows, anchor's place and the
+    key's hash. ``begins`` are the texts' first bytes in ``data`` and its length. Long data
     is cut into segments that overlap by a window."""
     parts = []
     last_start = len(data) - WINDOW
@@ -162,7 +165,15 @@ def anchor_runs(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.nd
         new[1:] = (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1)
         first = np.flatnonzero(new)
         count = np.diff(np.append(first, len(owner)))
-        parts.append((start[first], count, owner[first] + low, hashes[owner[first]]))
+        begin, anchor = start[first], owner[first] + low
+        # Windows with more than SIDE bytes before their anchor come first.
+        left = np.clip(anchor - begin - SIDE, 0, count)
+        for begins_at, size, at, reach in ((begin, left, anchor - SIDE - 1, SIDE + 1), (begin + left, count - left, anchor, SIDE)):
+            some = size > 0
+            key = np.full(int(some.sum()), reach, np.uint64)
+            for step in (0, 8, 16, 24, ANCHOR + reach - 8):
+                key = mix(key ^ grams[at[some] - low + step])
+            parts.append((begins_at[some], size[some], anchor[some], key))
     if not parts:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))
     return tuple(np.concatenate(columns) for columns in zip(*parts))
@@ -172,6 +183,7 @@ class Block:
     """Documents of one block in the order of their ids, and their anchors."""
 
     def __init__(self, table: pa.Table, id_col: str, text_col: str, buckets: int):
+        pa.default_memory_pool().release_unused()
         ids = table[id_col].cast(pa.int64()).fill_null(NO_ID).to_numpy()
         order = np.argsort(ids, kind="stable")
         self.table = table.take(pa.array(order))
@@ -311,8 +323,10 @@ def smallest_owners(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.n
     np.minimum.at(least, distinct, ids)
     own = rows[sample]
     place, count = own[:, 0].astype(np.int64), own[:, 1].astype(np.int64)
-    anchor = own[np.arange(len(own))[:, None], 4 + place[:, None] + np.arange(ANCHOR)]
-    _, group, size = np.unique(np.ascontiguousarray(anchor).view(f"V{ANCHOR}").ravel(), return_inverse=True, return_counts=True)
+    left = place > SIDE
+    keys = own[np.arange(len(own))[:, None], 4 + np.where(left, place - SIDE - 1, place)[:, None] + np.arange(KEY)]
+    keys[~left, -1] = 0  # on the right a key is one byte shorter
+    _, group, size = np.unique(np.ascontiguousarray(keys).view(f"V{KEY}").ravel(), return_inverse=True, return_counts=True)
     shared = np.flatnonzero(size[group] > 1)
     shared = shared[np.argsort(group[shared], kind="stable")]
     out: list[tuple[np.ndarray, ...]] = []
