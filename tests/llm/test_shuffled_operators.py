@@ -128,6 +128,42 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == plain_components(rows, 5, 0.8)
 
 
+def edited(words, places, mark):
+    return " ".join(f"{mark}-{i}" if i in places else w for i, w in enumerate(words))
+
+
+def test_links_that_need_one_member_of_a_crowd(spark):
+    """Variants near the base alone, and pairs in a crowd that shares most of its text."""
+    rnd = random.Random(11)
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 3001):  # 4 words of 200: 20 of 196 shingles, 0.82 to the base
+        rows.append((i, edited(base, {i % 40 + 45 * k + rnd.randrange(5) for k in range(4)}, f"v{i}")))
+    passage = [f"p{j}" for j in range(120)]
+    for i in range(300):  # every two of neighbouring numbers are a pair
+        own = [*passage, *(f"q{i // 2}-{j}" for j in range(80))]
+        rows.append((10_000 + i, edited(own, {150 + 20 * (i % 2)}, f"z{i}")))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(df).collect()}
+
+    def near(a, b):
+        s, t = ({*zip(*(x.split()[k:] for k in range(5)))} for x in (a, b))
+        return 100 * len(s & t) >= 80 * len(s | t)
+
+    text = dict(rows)
+    assert all(near(text[0], text[i]) for i in range(1, 3001)) and not near(text[1], text[21])
+    assert all(got[i] == 0 for i in range(3001))
+    assert all(got[10_000 + i] == 10_000 + i // 2 * 2 for i in range(300))
+
+
+def test_links_of_both_texts_of_a_repeated_id(spark):
+    texts = [" ".join(f"t{k}-{j}" for j in range(80)) for k in range(2)]
+    rows = [(5, texts[0]), (5, texts[1]), (6, texts[0] + " end"), (7, texts[1] + " end"), (8, "another text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.near_duplicates(df).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (6, 5), (7, 5), (8, 8)}
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(200, 100), (100, 150), (7, 7)]
     got = dict(components(spark.createDataFrame(links, "a long, b long")).collect())

@@ -4,8 +4,13 @@ Every document is a set of word shingles. A tree branches documents by minwise t
 the root one coordinate is chosen per tree, and documents with the same minimum there share
 a node. Nodes with few documents are compared exhaustively; a larger node chooses, by its
 own hash, one or two further coordinates, and its documents branch again. Independent trees
-repeat until a pair at the threshold is missed with negligible chance. Links are confirmed
-on the full sets, and components are found with distributed label passing.
+repeat, and what no level divides is compared in blocks. Links are confirmed on the full
+sets, and components are found with distributed label passing.
+
+The trees find most links cheaply but may miss some, above all in crowds. An exact join
+completes them: two sets at the threshold share some shingles among the first ones of both,
+in any common order of shingles, so documents of different components that share as many
+there, and that no bound on the intersection parts, are compared on their full sets.
 
 Documents with equal sets stand for each other, so copies never meet in a node.
 """
@@ -29,9 +34,17 @@ FURTHER = 24  # coordinates from which deeper nodes choose
 COORDINATES = TREES + FURTHER
 NODE_LIMIT = 64  # documents that are compared exhaustively
 HUBS = 4  # documents that all blocks of an undivided node have in common
+# The exact join puts shingles that many documents have last in the order. Which ones are
+# known to be such decides how many documents meet, never what is found.
+COMMON_SHINGLES = 1_000_000
+SEEN_OFTEN = 3  # minwise tokens that are this shingle
+SIGNATURE_WORDS = 8  # 64 parities of shingles each
+NEEDED = 32  # a set of n shingles asks a partner for 1 + n // NEEDED of its first ones
+SALTED = 1000  # documents with one shingle that are met by one task
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR, _FACTOR = _SEEDS[:COORDINATES], _SEEDS[COORDINATES:] | np.uint64(1)
+_INVERSE = np.array([pow(int(f), -1, 1 << 64) for f in _FACTOR], np.uint64)
 _WORD_FACTOR = np.uint64(0xA0761D6478BD642F)
 
 
@@ -238,6 +251,144 @@ def confirmed_links(groups: DataFrame, docs: DataFrame, sets: DataFrame, width:
     return wanted.join(full, "id").select("group", "id", "shingles").groupBy("group").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
+def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that the minwise tokens, a sample of each set, show most often, sorted, and
+    how often they were seen."""
+    target = arrow_schema("shingle long", sets.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            tokens = batch.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, COORDINATES)
+            yield pa.RecordBatch.from_arrays([pa.array(((tokens * _INVERSE) ^ _XOR).view(np.int64).ravel())], schema=target)
+
+    seen = sets.select("tokens").mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    found = seen.where(F.col("n") >= SEEN_OFTEN).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES).toPandas()
+    shingles, n = found["shingle"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    order = np.argsort(shingles)
+    return shingles[order], n[order]
+
+
+def first_shingles(docs: DataFrame, sets: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``digest``, ``size``, ``signature`` and ``first``: so many shingles, rare ones
+    first, that two sets at the threshold have as many of them in common as the smaller
+    asks for."""
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(sets))
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"id {kind}, digest binary, size long, signature array<long>, first array<long>"
+    target = arrow_schema(schema, docs.sparkSession)
+
+    def run(batches):
+        import pyarrow as pa
+
+        common, seen = shared.value
+        for batch in batches:
+            rows = []
+            for key, own in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), width)):
+                if key is None or not len(own):
+                    continue
+                often = np.zeros(len(own), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    often = np.where(common[at] == own, seen[at], 0)
+                # At least ceil(percent of n) are common; the k-th of them has so many behind it.
+                first = own[np.lexsort((own, often))[: len(own) - -(-percent * len(own) // 100) + 1 + len(own) // NEEDED]]
+                # Parities of the shingles that fall on each bit.
+                odd = np.bincount((own >> np.uint64(20)).astype(np.int64) % (64 * SIGNATURE_WORDS), minlength=64 * SIGNATURE_WORDS) & 1
+                signature = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                rows.append((key, hashlib.blake2b(own.tobytes(), digest_size=16).digest(), len(own), signature, first.view(np.int64)))
+            columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(target)]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+
+
+def possible_pairs(firsts: DataFrame, percent: int) -> DataFrame:
+    """``a``, ``b``: keys of sets of different components that share enough of their first
+    shingles and may be at the threshold by their sizes, the places of these shingles and
+    their signatures. ``firsts`` has ``key``, ``component``, ``size``, ``signature``, ``first``."""
+    rows = firsts.select("key", "component", "size", F.posexplode("first").alias("place", "shingle"))
+    counts = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    counts = written(counts.where("low <> high").select("shingle", "rows"), "shared-shingles")
+    words = [F.col("signature")[i].alias(f"s{i}") for i in range(SIGNATURE_WORDS)]
+    signatures = firsts.select("key", *words)
+    near = written(rows.join(counts.hint("merge"), "shingle").join(signatures.hint("merge"), "key"), "near")
+    # One shingle of many documents is met by several tasks: each takes a part of one side.
+    parts = F.ceil(F.col("rows") / SALTED).cast("int")
+    left = near.withColumn("part", F.pmod(F.xxhash64("key"), parts).cast("int"))
+    right = near.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    a, b = left.alias("a"), right.alias("b")
+    both = F.col("a.size") + F.col("b.size")
+    apart = sum((F.bit_count(F.col(f"a.s{i}").bitwiseXOR(F.col(f"b.s{i}"))) for i in range(SIGNATURE_WORDS)), F.lit(0))
+    needed = F.lit(1) + F.floor(F.least("a.size", "b.size") / NEEDED)
+    alike = needed + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1
+    meet = (
+        (F.col("a.shingle") == F.col("b.shingle"))
+        & (F.col("a.part") == F.col("b.part"))
+        & (F.col("a.key") < F.col("b.key"))
+        & (F.col("a.component") != F.col("b.component"))
+        & (100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size"))
+        & (alike * (100 + percent) >= percent * both)
+        & ((both - apart) * (100 + percent) >= 2 * percent * both)
+    )
+    met = a.join(b.hint("merge"), meet).select(F.col("a.key").alias("a"), F.col("b.key").alias("b"), needed.alias("needed"))
+    return met.groupBy("a", "b", "needed").agg(F.count(F.lit(1)).alias("n")).where("n >= needed").select("a", "b")
+
+
+def missed_links(docs: DataFrame, sets: DataFrame, found: DataFrame, width: int, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    """``a``, ``b``: every link between documents of different components of ``found``."""
+    percent = round(100 * threshold)
+    kind = docs.schema[id_col].dataType.simpleString()
+    named = sets.select("id", "digest").join(found, F.col("id") == F.col("node"), "left")
+    named = named.select("id", "digest", F.xxhash64("digest").alias("key"), F.coalesce("component", "id").alias("component"))
+    named = written(named, "named")
+    firsts = first_shingles(docs, sets, width, percent, id_col, text_col).dropDuplicates(["id", "digest"])
+    firsts = written(firsts.join(named, ["id", "digest"]).select("key", "component", "size", "signature", "first"), "firsts")
+    pairs = written(possible_pairs(firsts, percent), "pairs")
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    wanted = written(named.join(wanted, "key").select("id", "digest", "key"), "wanted")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "id")
+    schema = f"id {kind}, key long, digest binary, shingles binary"
+    target = arrow_schema(schema, docs.sparkSession)
+
+    def whole(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            own = [s.tobytes() for s in shingle_sets(batch["text"].to_pylist(), width)]
+            rows = [
+                (key, place, d, s)
+                for key, place, d, s in zip(batch["id"].to_pylist(), batch["key"].to_pylist(), batch["digest"].to_pylist(), own)
+                if hashlib.blake2b(s, digest_size=16).digest() == d
+            ]
+            columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(target)]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    full = written(texts.mapInArrow(whole, schema).dropDuplicates(["digest"]), "whole-sets").drop("digest")
+    linked = arrow_schema(f"a {kind}, b {kind}", docs.sparkSession)
+
+    def compare(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out = []
+            for a, b, s, t in zip(*(batch[name].to_pylist() for name in ("a", "b", "of_a", "of_b"))):
+                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    out.append((a, b))
+            columns = [pa.array([r[k] for r in out], f.type) for k, f in enumerate(linked)]
+            yield pa.RecordBatch.from_arrays(columns, schema=linked)
+
+    of_a = full.select(F.col("key").alias("key_a"), F.col("id").alias("a"), F.col("shingles").alias("of_a"))
+    of_b = full.select(F.col("key").alias("key_b"), F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+    met = pairs.select(F.col("a").alias("key_a"), F.col("b").alias("key_b")).join(of_a, "key_a").join(of_b, "key_b")
+    return met.select("a", "b", "of_a", "of_b").mapInArrow(compare, f"a {kind}, b {kind}").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, width: int = WORDS, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -257,6 +408,9 @@ def near_duplicates(
     copies = rows.select("id", "digest").join(sets.select("digest", F.col("id").alias("first")), "digest")
     own = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     found = components(links.union(own.distinct()))
+    missed = written(missed_links(docs, sets, found, width, threshold, id_col, text_col), "missed")
+    known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(known.union(missed)) if missed.limit(1).count() else found
     joined = rows.join(found, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
     return joined.select(
