@@ -274,6 +274,15 @@ def test_tree_scores_by_the_longest_kept_suffix():
     assert everything == pytest.approx(1)
 
 
+def test_the_seventh_byte_of_a_context_counts(spark):
+    """What follows ``wwwwww`` depends on the byte before it alone."""
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(["awwwwwwx", "bwwwwwwy"]) for _ in range(300)) for _ in range(8)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    scores = language_model.score_texts(df, df.doc_id > 0).where("doc_id = 0").first().score
+    assert scores / 300 > -0.45  # one free choice of two is 0.30; without the byte there are two
+
+
 def test_model_beats_word_counts_on_larger_tables(spark):
     scores = language_model.op4_language_model(spark, "/root/testdata/sf0.01")
     held = scores.where("held_out").selectExpr("sum(score) / sum(n_tokens) as own", "count(*) as n").first()
