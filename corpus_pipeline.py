@@ -20,18 +20,25 @@ from tidemark.llm.near_duplicates import near_duplicates
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.suffix_array import remove_repeats
 
-# A text whose best language still needs this many phrases per letter is in none of them:
-# a text of a learned language needs about one phrase for four letters.
-MOST_PHRASES = 0.6
+# A text whose best language needs this many times the phrases per letter that the labelled
+# texts of that language need, and more than nearly all of them, is in none.
+TIMES_USUAL = 2.4
+NEARLY_ALL = 0.99
 
 
 def language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language identification: texts without a letter, and texts that no learned language
-    parses, are rejected. Languages are learned outside the held-out fold of these rows."""
+    parses, are rejected. Languages are learned outside the held-out fold of these rows, and
+    each is measured by all rows with its label."""
     labelled = docs.where(F.coalesce(fold("doc_id", FOLDS), F.lit(-1)) > 0)
     found = identify(docs, labelled, prefix="_language_")
-    known = F.col("_language_lang_pred") != UNKNOWN
-    return found.where(known & (F.col("_language_phrase_rate") <= MOST_PHRASES)).select(*docs.columns)
+    found = written(found.where(F.col("_language_lang_pred") != UNKNOWN), "languages")
+    rates = F.percentile_approx("_language_phrase_rate", F.array(F.lit(0.5), F.lit(NEARLY_ALL)), 10_000)
+    usual = found.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("_language_label")).agg(rates.alias("_language_rates"))
+    most = F.greatest(F.lit(TIMES_USUAL) * F.col("_language_rates")[0], F.col("_language_rates")[1])
+    judged = found.join(F.broadcast(usual), F.col("_language_lang_pred") == F.col("_language_label"), "left")
+    parsed = F.coalesce(F.col("_language_phrase_rate") <= most, F.lit(True))
+    return judged.where(parsed).select(*docs.columns)
 
 
 def near_duplicate_groups(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

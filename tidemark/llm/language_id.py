@@ -9,6 +9,8 @@ phrases of a word are counted once and remembered, and whole texts cost a look-u
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 import uuid
 from collections import Counter
 
@@ -26,9 +28,17 @@ SAMPLE_ROWS = 400
 SAMPLE_LETTERS = 40_000
 REMEMBERED_WORDS = 300_000
 
-# Runs of letters; digits, signs and blanks part words. Numbers that are no digits, such as
+# Runs of letters and the marks that combine with them (vowel signs, accents, joiners);
+# digits, signs and blanks part words. Numbers that are no digits, such as
 # superscripts, may stand in a word but do not make one.
-WORDS = re.compile(r"[^\W\d_]+").findall
+_MARKS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Mn", "Mc")) + "\u200c\u200d"
+_NO_MARK = frozenset(_MARKS).isdisjoint
+_PLAIN_WORDS = re.compile(r"[^\W\d_]+").findall
+_MARKED_WORDS = re.compile(rf"[^\W\d_]+(?:[{_MARKS}]+[^\W\d_]*)*").findall
+
+
+def WORDS(text: str) -> list[str]:
+    return _PLAIN_WORDS(text) if text.isascii() or _NO_MARK(text) else _MARKED_WORDS(text)
 
 
 class WordAutomaton:
