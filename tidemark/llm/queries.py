@@ -15,6 +15,7 @@ MODULES = [
     "near_duplicates",
     "suffix_array",
     "language_model",
+    "merkle",
 ]
 
 
