@@ -16,6 +16,7 @@ MODULES = [
     "suffix_array",
     "language_model",
     "merkle",
+    "repair",
 ]
 
 
