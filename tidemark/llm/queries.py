@@ -17,6 +17,7 @@ MODULES = [
     "language_model",
     "merkle",
     "repair",
+    "license_scan",
 ]
 
 
