@@ -46,7 +46,7 @@ def test_layout_one_file_per_type_and_day(spark, table):
     rows = events(spark).unionByName(events(spark, day=1, start=100)).unionByName(
         events(spark, day=1, start=200, type=fv.TYPE_FINGERPRINT)
     )
-    table.write(rows, "a", 1, T0)
+    table.write(rows, "a", T0)
     found = files_of(spark, table)
     assert len(found) == 3 and sum(r.rows for r in found) == 60
     assert {(r.year, r.month, r.day) for r in found} == {(2026, 6, 1), (2026, 6, 2)}
@@ -55,39 +55,39 @@ def test_layout_one_file_per_type_and_day(spark, table):
 
 def test_empty_table_and_empty_write(spark, table):
     assert table.read().count() == 0
-    table.write(events(spark).limit(0), "a", 1, T0)
-    table.write(events(spark), "b", 2, T0)
+    table.write(events(spark).limit(0), "a", T0)
+    table.write(events(spark), "b", T0)
     assert table.read().count() == 20
 
 
 def test_a_batch_replaces_itself_and_nothing_else(spark, table):
-    table.write(events(spark), "a", 1, T0)
-    table.write(events(spark, start=100), "b", 2, T0)
-    table.write(events(spark, start=100), "b", 2, T0)
+    table.write(events(spark), "a", T0)
+    table.write(events(spark, start=100), "b", T0)
+    table.write(events(spark, start=100), "b", T0)
     assert ids(table.read()) == [*range(20), *range(100, 120)]
     assert ids(lake.read_changes(table.read(), 2, 2)) == list(range(100, 120))
 
 
 def test_a_write_stopped_half_way_leaves_the_committed_rows(spark, table):
-    table.write(events(spark), "a", 1, T0)
+    table.write(events(spark), "a", T0)
     fails = events(spark, start=100).withColumn(
         "data", F.when(F.col("id") == "113", F.raise_error(F.lit("disk is gone"))).otherwise(F.col("data"))
     )
     with pytest.raises(Exception, match="disk is gone"):
-        table.write(fails, "b", 2, T0)
+        table.write(fails, "b", T0)
     assert ids(table.read()) == list(range(20))
-    table.write(events(spark, 5, start=100), "b", 2, T0)
+    table.write(events(spark, 5, start=100), "b", T0)
     assert ids(table.read()) == [*range(20), *range(100, 105)]
 
 
 def test_special_characters_in_types(spark, table):
     odd = "raw.a b:c+d/e%"
-    table.write(events(spark, type=odd), "a", 1, T0)
+    table.write(events(spark, type=odd), "a", T0)
     assert table.read(odd).count() == 20 and {r.type for r in table.read().collect()} == {odd}
 
 
 def test_codec_and_row_cap_apply(spark, table):
-    table.write(events(spark, 50), "a", 1, T0, **lake.write_options("uncompressed", target_bytes=1000, row_bytes=100))
+    table.write(events(spark, 50), "a", T0, **lake.write_options("uncompressed", target_bytes=1000, row_bytes=100))
     assert max(r.rows for r in files_of(spark, table)) == 10
 
 
@@ -114,7 +114,7 @@ def test_decoded_batches_are_clustered_and_replay_safe(spark, tmp_path):
 
 
 def test_reads_prune_partitions(spark, table):
-    table.write(events(spark).unionByName(events(spark, day=1, start=100)), "a", 1, T0)
+    table.write(events(spark).unionByName(events(spark, day=1, start=100)), "a", T0)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     rows = table.read(fv.TYPE_STATUS, T0, T0 + timedelta(hours=1), subject="did:erc721:137:0xA:1")
     assert ids(rows) == [1, 6, 11, 16]
@@ -148,15 +148,15 @@ def test_backfill_is_idempotent(spark, table, tmp_path):
 
 def test_backfill_finishes_a_batch_that_was_stopped(spark, table, tmp_path, monkeypatch):
     listed = bundle_folder(spark, tmp_path / "old")
-    write = table.write
+    write = table.write_batches
 
     def broken(*_args, **_kwargs):
         raise RuntimeError("no space")
 
-    monkeypatch.setattr(table, "write", broken)
+    monkeypatch.setattr(table, "write_batches", broken)
     with pytest.raises(RuntimeError):
         maintenance.backfill(table, listed, T0)
-    monkeypatch.setattr(table, "write", write)
+    monkeypatch.setattr(table, "write_batches", write)
     assert maintenance.backfill(table, listed, T0) == {"registered": 0, "skipped": 4}
     assert table.read().count() == 60
 

@@ -582,7 +582,7 @@ def _documents(spark, d):
 
 
 _BLOB_SQL = f"""
-SELECT doc_id, strlen(text) AS n, sha256(concat('{DID}', doc_id, '|2024-02-01T00:00:00.000Z|{fv.TYPE_ATTESTATION}|{SOURCE}|', doc_id)) AS h,
+SELECT doc_id, strlen(text) AS n, sha256(concat('{DID}', doc_id, '|2024-02-01T00:00:00.000Z|{fv.TYPE_ATTESTATION}|{SOURCE}|', doc_id, '|', sha256(text))) AS h,
        md5(text) AS digest FROM documents"""
 
 

@@ -57,7 +57,7 @@ WHERE type = '{fv.TYPE_TOMBSTONE}' AND time >= TIMESTAMP '2024-01-03 00:00:00' A
 )
 def write_and_read_table(spark, d):
     table = new_table(spark)
-    table.write(complete(raw_events(spark, d)), "one", 1, layout="range")
+    table.write(complete(raw_events(spark, d)), "one", layout="range")
     rows = table.read(fv.TYPE_TOMBSTONE, datetime(2024, 1, 3), datetime(2024, 1, 25, 12))
     return rows.select("id", "subject", millis("time"), "data", F.coalesce("voids_id", F.lit("")).alias("voids_id"))
 
@@ -99,12 +99,13 @@ def layout_audit(spark, d):
     # The year and the month are no constants to the optimizer, so the sort below keeps them
     # and the writer, which wants that order, does not sort again.
     date = {"year": number % 1 + 2024, "month": number % 1 + 1, "day": number % 16 + 1}
-    rows = complete(raw_events(spark, d)).withColumn("snapshot_id", F.lit(1).cast("long"))
+    rows = complete(raw_events(spark, d))
     rows = rows.withColumns({name: c.cast("int") for name, c in date.items()})
     order = [*schemas.PARTITION_COLUMNS, F.desc("subject"), F.desc("time")]
     falling = rows.repartition("type", "day").sortWithinPartitions(*order)
-    columns = [*schemas.RAW_EVENT_COLUMNS, "snapshot_id", "ingest_time", "year", "month", "day"]
-    falling.select(*columns).write.partitionBy(*schemas.PARTITION_COLUMNS).parquet(f"{table.data}/batch=falling")
+    columns = [*schemas.RAW_EVENT_COLUMNS, "ingest_time", "year", "month", "day", F.lit("falling").alias("batch")]
+    falling.select(*columns).write.partitionBy(*schemas.PARTITION_COLUMNS, "batch").parquet(table.data)
+    table.commit("falling", "falling", [])
     audit = reports.layout_audit(table.stored())
     folder = F.regexp_extract("file_path", "/day=([0-9]+)/", 1).cast("int").alias("folder")
     return audit.groupBy(folder).agg(*[F.sum(c).alias(c) for c in ("row_count", "unsorted_rows", "misplaced_rows")])

@@ -3,6 +3,7 @@ caller passes ``as_of``."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -11,11 +12,10 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fv
 from tidemark.functions.text import storage_path
 from tidemark.operators import consumers, files
-from tidemark.operators.ordered import running_stats
 from tidemark.plans.lake import RawEventTable, path_exists
 from tidemark.sources.tables import read_bundles
 
-REGISTERED = "path string, snapshot_id bigint, batch string"
+REGISTERED = "path string, prefix string, batch string"
 
 
 def _ts(value: datetime) -> Column:
@@ -26,7 +26,7 @@ def _ts(value: datetime) -> Column:
 
 
 def registered(table: RawEventTable) -> DataFrame:
-    """External files with the snapshot and the batch that hold them."""
+    """External files with the batch that holds them."""
     path = f"{table.root}/backfilled"
     if not path_exists(table.spark, path):
         return table.spark.createDataFrame([], REGISTERED)
@@ -38,42 +38,42 @@ def backfill(
 ) -> dict[str, int]:
     """Bring external files into the layout; a rerun registers nothing.
 
-    ``listed`` has ``path``. Files of one prefix get snapshots of at most ``cap`` files. The
-    new files are registered first, as one batch; then its folder is written. A run that
-    stopped in between left a registered batch without a finished folder, and the next run
-    writes exactly that batch again. Returns registered and skipped counts.
+    ``listed`` has ``path``. Files of one prefix make batches of at most ``cap`` files, and
+    each batch a snapshot. New files are registered first; then all batches that are not
+    committed yet are written by one job, those of a run that stopped half way included.
+    Returns registered and skipped counts.
     """
     known = registered(table)
     parquet = listed.where(F.col("path").endswith(".parquet")).select("path").distinct()
-    plan = files.registration_batches(files.new_files(parquet, known), cap)
-    base = known.agg(F.coalesce(F.max("snapshot_id"), F.lit(0))).first()[0]
-    sizes = plan.select("prefix", "batch").distinct()
-    numbers = running_stats(sizes, [], ["prefix", "batch"], number="number")
-    placed = plan.join(numbers, ["prefix", "batch"])
-    run = known.select("batch").distinct().count()
-    rows = placed.select("path", (F.col("number") + base).alias("snapshot_id"), F.lit(f"backfill-{run}").alias("batch"))
-    total = parquet.join(known.select("path"), "path", "left_anti").count()
-    if total:
-        rows.write.mode("append").parquet(f"{table.root}/backfilled")
-    for batch in [r[0] for r in registered(table).select("batch").distinct().collect()]:
-        if not path_exists(table.spark, f"{table.data}/batch={batch}/_SUCCESS"):
-            _write_batch(table, registered(table).where(F.col("batch") == batch), batch, as_of, options)
-    return {"registered": total, "skipped": parquet.count() - total}
-
-
-def _write_batch(table: RawEventTable, placed: DataFrame, batch: str, as_of: datetime, options: dict) -> None:
-    """One job for the files of a batch. The driver holds their paths, as any reader does."""
+    marked = parquet.join(known.select("path").distinct().withColumn("_known", F.lit(1)), "path", "left")
+    total, skipped = marked.agg(F.count(F.lit(1)), F.count("_known")).first()
+    if total > skipped:
+        plan = files.registration_batches(marked.where("_known IS NULL").select("path"), cap)
+        run = uuid.uuid4().hex[:8]
+        name = F.concat(F.lit(f"backfill-{run}-"), F.substring(F.md5("prefix"), 1, 12), F.format_string("-%06d", F.col("batch")))
+        plan.select("path", "prefix", name.alias("batch")).write.mode("append").parquet(f"{table.root}/backfilled")
+        known = registered(table)
+    open_batches = known.join(table.commits().select("batch"), "batch", "left_anti")
+    # One name for each batch of files, not for each file.
+    names = [r.batch for r in open_batches.select("prefix", "batch").distinct().orderBy("prefix", "batch").collect()]
+    if names:
+        _write_batches(table, open_batches, names, as_of, options)
+    return {"registered": total - skipped, "skipped": skipped}
+
+
+def _write_batches(table: RawEventTable, placed: DataFrame, names: list[str], as_of: datetime, options: dict) -> None:
+    """One job for the files of all batches. The driver holds their paths, as any reader does."""
     paths = [r[0] for r in placed.select("path").toLocalIterator()]
     # The reader reports a file with its scheme; match on the bare path.
     bare = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/*", "/")
     rows = (
         read_bundles(table.spark, paths)
         .withColumn("_path", bare(storage_path(F.col("path"))))
-        .join(placed.select(bare(F.col("path")).alias("_path"), "snapshot_id"), "_path")
+        .join(placed.select(bare(F.col("path")).alias("_path"), "batch"), "_path")
         .drop("_path", "path")
         .withColumn("ingest_time", _ts(as_of))
     )
-    table.write(rows, batch, layout="range", **options)
+    table.write_batches(rows, names, layout="range", **options)
 
 
 def table_listing(table: RawEventTable) -> DataFrame:

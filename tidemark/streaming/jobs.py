@@ -130,8 +130,7 @@ def ingest_query(
             blobs.write.mode("overwrite").parquet(f"{table.root}/blobs/batch={name}")
             both = rejected.unionByName(faults, allowMissingColumns=True)
             quarantine(both, f"{table.root}/quarantine/batch={name}", "overwrite")
-            now = _now()
-            table.write(normalize.to_raw_row(stored), name, int(now.timestamp() * 1000), now, **write_options)
+            table.write(normalize.to_raw_row(stored), name, _now(), **write_options)
         finally:
             events.unpersist()
             batch.unpersist()
