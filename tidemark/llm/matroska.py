@@ -35,7 +35,8 @@ NO_LACING, XIPH_LACING, FIXED_LACING, EBML_LACING = 0, 1, 2, 3
 
 SAMPLES = 576  # 8-bit samples of a packet
 PACKETS_PER_BLOCK = 8
-BLOCKS_PER_CLUSTER = 64
+BLOCKS_PER_CLUSTER = 64  # at most; fewer where their times would not fit
+LAST_RELATIVE = 32_767  # block times are signed 16-bit numbers, counted from their cluster's
 RATE = 8000
 PAD = b"\xff"
 
@@ -92,6 +93,8 @@ def lace(frames: list[bytes], kind: int) -> bytes:
 def block(track: int, relative: int, frames: list[bytes], kind: int, simple: bool = True) -> bytes:
     if len(frames) == 1:
         kind = NO_LACING
+    if not -LAST_RELATIVE - 1 <= relative <= LAST_RELATIVE:
+        raise ValueError(f"a block {relative} ms from its cluster")
     body = _size(track) + struct.pack(">hB", relative, (0x80 if simple else 0) | kind << 1) + lace(frames, kind)
     return _element(SIMPLE_BLOCK, body) if simple else _element(BLOCK_GROUP, _element(BLOCK, body))
 
@@ -126,7 +129,9 @@ def mux(payload: bytes, samples: int = SAMPLES) -> bytes:
         ),
     )
     parts, position, cues = [info, tracks], len(info) + len(tracks), []
-    per_cluster = BLOCKS_PER_CLUSTER * PACKETS_PER_BLOCK
+    # A cluster closes before the time of its next block would leave the range.
+    fitting = 1 + LAST_RELATIVE // (PACKETS_PER_BLOCK * max(frame_ms, 1))
+    per_cluster = min(BLOCKS_PER_CLUSTER, fitting) * PACKETS_PER_BLOCK
     for first in range(0, frames, per_cluster):
         blocks = [_number(CLUSTER_TIME, first * frame_ms)]
         last = min(first + per_cluster, frames)
