@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,50 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+# Paths of the tables written in each open ``scratch``, innermost last.
+_OPEN: list[list[str]] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, survives lost executors."""
+    """``df`` as a table in the shared folder: computed once, survives lost executors. What
+    was shuffled for it is deleted as soon as the table stands."""
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside are deleted at the end, but for those given to the function
+    that this yields; these belong to what is around. Only written tables may be given on."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+
+    def keep(table: DataFrame) -> DataFrame:
+        paths.remove(table.scratch_path)
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(table.scratch_path)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, paths):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def arrow_schema(df_schema: str, spark: SparkSession) -> pa.Schema:

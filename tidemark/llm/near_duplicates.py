@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, chunks_of_bytes, load, mix, word_hashes, written
+from tidemark.llm.common import arrow_schema, chunks_of_bytes, load, mix, scratch, word_hashes, written
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -403,12 +403,15 @@ def near_duplicates(
     full = rows.where("id is not null and n_shingles > 0")
     sets = full.groupBy("digest").agg(F.min(F.struct("id", "tokens")).alias("first"))
     sets = written(sets.select("digest", "first.*"), "sets-of-documents")
-    groups = likely_groups(node_members(sets), sets, threshold)
-    links = confirmed_links(groups, docs, sets, width, threshold, id_col, text_col)
-    copies = rows.select("id", "digest").join(sets.select("digest", F.col("id").alias("first")), "digest")
-    own = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    found = components(links.union(own.distinct()))
-    missed = written(missed_links(docs, sets, found, width, threshold, id_col, text_col), "missed")
+    spark = docs.sparkSession
+    with scratch(spark) as keep:
+        groups = likely_groups(node_members(sets), sets, threshold)
+        links = confirmed_links(groups, docs, sets, width, threshold, id_col, text_col)
+        copies = rows.select("id", "digest").join(sets.select("digest", F.col("id").alias("first")), "digest")
+        own = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+        found = keep(components(links.union(own.distinct())))
+    with scratch(spark) as keep:
+        missed = keep(written(missed_links(docs, sets, found, width, threshold, id_col, text_col), "missed"))
     known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(known.union(missed)) if missed.limit(1).count() else found
     joined = rows.join(found, F.col("id") == F.col("node"), "left")
