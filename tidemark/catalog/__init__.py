@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["events", "signals", "ledger", "rules", "table"]
+MODULES = ["events", "signals", "ledger", "rules", "table", "feeds"]
 
 
 def _modules():

@@ -259,13 +259,22 @@ def unpack(packed: DataFrame, array: str = "signals") -> DataFrame:
     return inline_rows(packed, array, *rest)
 
 
-def decode_packed(raw: DataFrame, chain: int | str, contract: str, as_of: Column) -> DataFrame:
-    """Decode, prune, merge coordinates and pack, with replay-safe ids."""
+def decoded_events(raw: DataFrame, chain: int | str, contract: str, as_of: Column) -> DataFrame:
+    """Status events with their pruned and merged ``signals`` and what decoding leaves out
+    (``decode_errors``, ``_ahead``, ``location_errors``). Both outputs follow from it."""
     decoded = decode_arrays(raw.withColumn("event_key", identity.event_key()), chain, contract)
-    merged = merge_coordinates(with_pruned(decoded, as_of))
-    if "specversion" not in merged.columns:
-        merged = merged.withColumn("specversion", F.lit(fv.DEFAULT_SPEC_VERSION))
-    packed = pack_by_name(merged)
+    ahead = F.transform(
+        F.filter("signals", lambda x: checks.is_future(x["timestamp"], as_of)),
+        lambda x: F.concat(F.lit("future_signal: "), x["name"]),
+    )
+    return merge_coordinates(with_pruned(decoded.withColumn("_ahead", ahead), as_of))
+
+
+def packed_of(decoded: DataFrame) -> DataFrame:
+    """Decoded events packed by name, with replay-safe ids."""
+    if "specversion" not in decoded.columns:
+        decoded = decoded.withColumn("specversion", F.lit(fv.DEFAULT_SPEC_VERSION))
+    packed = pack_by_name(decoded)
     return packed.select(
         identity.decoded_id(F.col("event_key"), F.col("name")).alias("dedup_id"),
         "event_key",
@@ -276,19 +285,21 @@ def decode_packed(raw: DataFrame, chain: int | str, contract: str, as_of: Column
     )
 
 
-def decode_faults(raw: DataFrame, chain: int | str, contract: str, as_of: Column) -> DataFrame:
+def faults_of(decoded: DataFrame) -> DataFrame:
     """What decoding leaves out, one row per raw event, reason and position: elements that
     cannot be decoded, signals from the future, and coordinates without a partner."""
-    decoded = decode_arrays(raw.withColumn("event_key", identity.event_key()), chain, contract)
-    ahead = F.transform(
-        F.filter("signals", lambda x: checks.is_future(x["timestamp"], as_of)),
-        lambda x: F.concat(F.lit("future_signal: "), x["name"]),
-    )
-    reasons = decoded.withColumns({"_ahead": ahead, "_decode": F.col("decode_errors")})
-    merged = merge_coordinates(with_pruned(reasons, as_of))
     places = F.transform(F.col("location_errors"), lambda e: F.concat(F.lit("location: "), e.cast("string")))
-    every = F.concat("_decode", "_ahead", places)
-    return merged.select("event_key", "subject", F.posexplode(every).alias("position", "reason"))
+    every = F.concat("decode_errors", "_ahead", places)
+    return decoded.select("event_key", "subject", F.posexplode(every).alias("position", "reason"))
+
+
+def decode_packed(raw: DataFrame, chain: int | str, contract: str, as_of: Column) -> DataFrame:
+    """Decode, prune, merge coordinates and pack, with replay-safe ids."""
+    return packed_of(decoded_events(raw, chain, contract, as_of))
+
+
+def decode_faults(raw: DataFrame, chain: int | str, contract: str, as_of: Column) -> DataFrame:
+    return faults_of(decoded_events(raw, chain, contract, as_of))
 
 
 def decode_vehicle_events(raw: DataFrame) -> DataFrame:

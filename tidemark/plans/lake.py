@@ -195,11 +195,16 @@ class RawEventTable:
         order of ``batches``, those without rows as well."""
         done = {b: n for b in batches if (n := self.snapshot_of(b)) is not None}
         wanted = [b for b in batches if b not in done]
-        if not wanted:
-            return done
-        attempt = uuid.uuid4().hex[:12]
-        if done:
+        if done and wanted:
             rows = rows.where(F.col("batch").isin(wanted))
+        attempts = self.prepare(rows, wanted, time, layout, **options) if wanted else []
+        return done | {a["batch"]: self.commit(**a) for a in attempts}
+
+    def prepare(
+        self, rows: DataFrame, batches: list[str], time: datetime | None = None, layout: str = "rebalance", **options: str
+    ) -> list[dict]:
+        """The first half of a write: files that nobody sees until ``commit(**attempt)``."""
+        attempt = uuid.uuid4().hex[:12]
         if "ingest_time" not in rows.columns:
             rows = rows.withColumn("ingest_time", F.lit(time).cast("timestamp"))
         columns = [c for c in (*schemas.RAW_EVENT_COLUMNS, "ingest_time") if c in rows.columns]
@@ -215,10 +220,9 @@ class RawEventTable:
         parts: dict[str, list] = {}
         for p in seen.get["parts"] or []:
             parts.setdefault(p["batch"], []).append({k: p[k] for k in schemas.PARTITION_COLUMNS})
-        for batch in wanted:
-            name = f"{batch}.{attempt}"
-            done[batch] = self.commit(batch, name, parts.get(name, []), seen.get["rows"] if len(wanted) == 1 else None)
-        return done
+        rows_written = seen.get["rows"] if len(batches) == 1 else None
+        names = {b: f"{b}.{attempt}" for b in batches}
+        return [{"batch": b, "attempt": n, "partitions": parts.get(n, []), "rows": rows_written} for b, n in names.items()]
 
     def commit(self, batch: str, attempt: str, partitions: list[dict], rows: int | None = None) -> int:
         """Make ``attempt`` the rows of ``batch`` under the next free number. Of two attempts
@@ -237,9 +241,13 @@ class RawEventTable:
                 self._last = number
                 # Only a shortcut for ``snapshot_of``: without it a batch is written again and
                 # its second commit does not count.
-                self._batches.put(self._batch_file(batch), {"snapshot_id": number})
+                self.mark(batch, number)
                 return number
 
+    def mark(self, batch: str, snapshot_id: int) -> None:
+        """Note under which snapshot a batch, or a part of one, is committed."""
+        self._batches.put(self._batch_file(batch), {"snapshot_id": snapshot_id})
+
     def _batch_file(self, batch: str) -> str:
         return f"b-{self._escaped(batch)}.json"
 

@@ -1,16 +1,12 @@
-"""Structured Streaming jobs: raw ingest, decode, throttle."""
+"""Structured Streaming jobs: raw ingest and decode."""
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
 from datetime import datetime, timezone
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark import fixed_values as fv
 from tidemark.functions import identity
@@ -19,6 +15,9 @@ from tidemark.operators.attest import normalize_attestations
 from tidemark.operators.dedup import keep_latest
 from tidemark.plans.lake import RawEventTable, append_decoded, quarantine
 from tidemark.sources.envelopes import parse_envelopes, split_rejects
+from tidemark.streaming.batches import start_named
+from tidemark.streaming.bundles import Bounds, Bundles, FlushWhenIdle
+from tidemark.streaming.consume import consume
 
 
 ORIGINS = (CONNECTION, ATTESTATION, PAYLOAD) = ("connection", "attestation", "payload")
@@ -78,28 +77,6 @@ def normalized(events: DataFrame) -> DataFrame:
     return every.withColumn("reject_reason", gate)
 
 
-def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id that Spark gave the query of this checkpoint. It survives restarts and is new
-    for a new checkpoint, so it names batches without ever reusing a name."""
-    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
-    return json.loads(text)["id"]
-
-
-def _start(rows: DataFrame, write, checkpoint: str, query: str, trigger: dict | None) -> StreamingQuery:
-    """Run ``write(batch, name)`` per micro-batch; a replayed batch has the same name."""
-
-    def named(batch: DataFrame, batch_id: int) -> None:
-        write(batch, f"{query}-{checkpoint_id(batch.sparkSession, checkpoint)}-{batch_id}")
-
-    return (
-        rows.writeStream.foreachBatch(named)
-        .option("checkpointLocation", checkpoint)
-        .queryName(query)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start()
-    )
-
-
 def ingest_query(
     messages: DataFrame,
     table: RawEventTable,
@@ -108,19 +85,30 @@ def ingest_query(
     threshold: int = fv.SPLIT_THRESHOLD_BYTES,
     trigger: dict | None = None,
     dedup_window: str | None = "2 minutes",
+    bounds: Bounds | None = None,
     **write_options: str,
 ) -> StreamingQuery:
-    """Messages of all origins to blobs, raw rows and quarantine.
+    """Messages of all origins to blobs, raw rows, quarantine and counts of outcomes.
 
     Every micro-batch owns one folder of each, named by the checkpoint's id and the batch
     number: written again it replaces itself, and a new checkpoint never meets old names.
-    Accepted and rejected rows together are all rows of the batch.
+    Accepted and rejected rows together are all rows of the batch. The table is written last
+    and its commit ends the batch; a batch that is committed is not touched again.
+
+    With ``bounds`` small batches wait for each other and are committed as bundles.
     """
+    bundles = Bundles(table, bounds, **write_options) if bounds else None
+    if bundles:
+        table.spark.streams.addListener(FlushWhenIdle(bundles, query))
     arrivals = parsed(messages)
     if dedup_window:
         arrivals = dedup_arrivals(arrivals, dedup_window)
 
     def write(batch: DataFrame, name: str) -> None:
+        if table.snapshot_of(name if not bundles else f"staged-{name}") is not None:
+            # Nothing to write; the state of the deduplication moves on with the batch.
+            batch.write.format("noop").mode("overwrite").save()
+            return
         # The batch is taken from the stream once, and its events are made once.
         batch = batch.persist()
         events = normalized(batch).persist()
@@ -130,18 +118,41 @@ def ingest_query(
             blobs.write.mode("overwrite").parquet(f"{table.root}/blobs/batch={name}")
             both = rejected.unionByName(faults, allowMissingColumns=True)
             quarantine(both, f"{table.root}/quarantine/batch={name}", "overwrite")
-            table.write(normalize.to_raw_row(stored), name, _now(), **write_options)
+            outcomes = outcome_rows(stored, both)
+            outcomes.write.mode("overwrite").parquet(f"{table.root}/outcomes/batch={name}")
+            rows = normalize.to_raw_row(stored)
+            if bundles:
+                if not rows.isEmpty():
+                    bundles.stage(rows.withColumn("ingest_time", F.lit(_now())), name)
+                bundles.flush(_now())
+            else:
+                table.write(rows, name, _now(), **write_options)
         finally:
             events.unpersist()
             batch.unpersist()
 
-    return _start(arrivals, write, checkpoint, query, trigger)
+    return start_named(arrivals, write, checkpoint, query, trigger)
 
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def outcome_rows(stored: DataFrame, rejected: DataFrame) -> DataFrame:
+    """(origin, outcome, events): what became of the events of a micro-batch."""
+    taken = stored.select("origin", F.lit("accepted").alias("outcome"))
+    return taken.unionByName(rejected.select("origin", F.col("reject_reason").alias("outcome"))).groupBy("origin", "outcome").agg(
+        F.count(F.lit(1)).alias("events")
+    )
+
+
+def outcome_counts(table: RawEventTable) -> DataFrame:
+    """(origin, outcome, events) over all micro-batches so far. Each batch has written its
+    own counts, so a repeated batch or a restart counts nothing twice."""
+    rows = table.spark.read.schema("origin string, outcome string, events long, batch string").parquet(f"{table.root}/outcomes")
+    return rows.groupBy("origin", "outcome").agg(F.sum("events").alias("events"))
+
+
 def blobs_of(table: RawEventTable) -> DataFrame:
     return table.spark.read.schema("data_index_key string, payload binary, batch string").parquet(f"{table.root}/blobs")
 
@@ -170,13 +181,37 @@ def decode_query(
     """Raw rows to packed signals, one lane per name token. What could not be decoded goes
     to ``errors`` (by default beside the target), one row per event and reason."""
 
+    return start_named(raw_rows, _decoder(target, chain, contract, errors), checkpoint, query, trigger)
+
+
+def decode_table(
+    table: RawEventTable,
+    target: str,
+    checkpoint: str,
+    chain: int | str,
+    contract: str,
+    consumer: str = "decode",
+    trigger: dict | None = None,
+    errors: str | None = None,
+    max_commits: int = 100,
+) -> StreamingQuery:
+    """The same over every commit of the table, with a cursor."""
+    return consume(table, consumer, _decoder(target, chain, contract, errors), checkpoint, max_commits, trigger)
+
+
+def _decoder(target: str, chain: int | str, contract: str, errors: str | None):
+    aside = errors or target.rstrip("/") + "-errors"
+
     def write(batch: DataFrame, name: str) -> None:
-        as_of = F.col("ingest_time")
-        write_lanes(decode.decode_packed(batch, chain, contract, as_of), target, name)
-        faults = decode.decode_faults(batch, chain, contract, as_of)
-        faults.write.mode("overwrite").parquet(f"{errors or target.rstrip('/') + '-errors'}/batch={name}")
+        # Lanes and faults are two outputs of one decoding.
+        decoded = decode.decoded_events(batch, chain, contract, F.col("ingest_time")).persist()
+        try:
+            write_lanes(decode.packed_of(decoded), target, name)
+            decode.faults_of(decoded).write.mode("overwrite").parquet(f"{aside}/batch={name}")
+        finally:
+            decoded.unpersist()
 
-    return _start(raw_rows, write, checkpoint, query, trigger)
+    return write
 
 
 def decode_events_query(
@@ -187,38 +222,4 @@ def decode_events_query(
     def write(batch: DataFrame, name: str) -> None:
         write_lanes(decode.decode_packed_events(batch), target, name)
 
-    return _start(raw_rows, write, checkpoint, query, trigger)
-
-
-def throttle_stream(rows: DataFrame, key: str, time: Column, interval_seconds: int = 3600) -> DataFrame:
-    """Stateful limiter: one row per key and interval in processing order.
-
-    Rows of a micro-batch are reduced to distinct times per key first. State is one
-    timestamp per key and is dropped once its interval has passed, which bounds it.
-    """
-    interval = interval_seconds * 1000
-    reduced = rows.select(F.col(key).cast("string").alias("key"), F.unix_millis(time).alias("ms"))
-
-    def limit(ids: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        out = []
-        for pdf in batches:
-            for ms in sorted(pdf["ms"].unique().tolist()):
-                if last is None or ms - last >= interval:
-                    out.append(ms)
-                    last = ms
-        if last is not None:
-            state.update((last,))
-            state.setTimeoutDuration(interval)
-        yield pd.DataFrame({"key": [ids[0]] * len(out), "emitted_ms": out})
-
-    return reduced.groupBy("key").applyInPandasWithState(
-        limit,
-        "key string, emitted_ms long",
-        "last_ms long",
-        "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
-    )
+    return start_named(raw_rows, write, checkpoint, query, trigger)
