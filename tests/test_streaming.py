@@ -1,7 +1,6 @@
-"""Streaming jobs with ``availableNow``: ingest, restart, decode, throttle."""
+"""Streaming jobs with ``availableNow``: ingest, restart, decode."""
 
 import json
-import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -135,27 +134,3 @@ def test_decode_stream_is_replay_safe(spark, tmp_path):
         run(jobs.decode_query(stream, target, str(tmp_path / checkpoint), 137, CONTRACT, trigger=ONCE))
     decoded = jobs.read_lanes(spark, target)
     assert {r.name_token: r["count"] for r in decoded.groupBy("name_token").count().collect()} == {"a_b": 6, "c": 6}
-
-
-def test_throttle_stream(spark, tmp_path):
-    source = str(tmp_path / "in")
-    schema = "producer string, ts timestamp"
-    minutes = [0, 10, 59, 60, 61, 130]
-    rows = [(p, T0 + timedelta(minutes=m)) for p in ("a", "b") for m in minutes]
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(source)
-    stream = spark.readStream.schema(schema).parquet(source)
-    limited = jobs.throttle_stream(stream, "producer", F.col("ts"))
-    # A processing-time timeout keeps scheduling batches, so the query is stopped here.
-    query = (
-        limited.writeStream.format("memory").queryName("limited").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "cp")).start()
-    )
-    try:
-        deadline = time.time() + 90
-        while time.time() < deadline and spark.sql("SELECT * FROM limited").count() < 6:
-            time.sleep(1)
-    finally:
-        query.stop()
-    got = {(r["key"], r.emitted_ms) for r in spark.sql("SELECT * FROM limited").collect()}
-    base = int((T0 - datetime(1970, 1, 1)).total_seconds() * 1000)
-    assert got == {(p, base + m * 60_000) for p in ("a", "b") for m in (0, 60, 130)}

@@ -28,7 +28,7 @@ from tidemark.operators import attest, dedup, normalize, ordered, payloads, repo
 from tidemark.operators.throttle import throttle_first
 from tidemark.plans.lake import date_predicate, union_native_and_backfilled, with_partition_columns
 from tidemark.sources.envelopes import parse_envelopes
-from tidemark.session import spread
+from tidemark.session import scratch_path, spread
 from tidemark.sources.tables import sample_events
 
 QUERIES: dict = {}
@@ -794,9 +794,24 @@ def table_counts(spark, d):
     return reports.table_counts(raw_events(spark, d)).withColumn("day", F.col("day").cast("string"))
 
 
-@query("table_counts_approximate")
+# At these sizes a sketch still holds every subject, so its estimate is the count itself.
+@query("table_counts_approximate", ORACLES["table_counts"])
 def table_counts_approximate(spark, d):
-    return reports.table_counts_approximate(raw_events(spark, d))
+    return reports.table_counts_approximate(raw_events(spark, d)).withColumn("day", F.col("day").cast("string"))
+
+
+@query(
+    "sketched_counts",
+    f"""WITH {R} SELECT CAST(CAST(date_trunc('week', time) AS DATE) AS VARCHAR) AS week, type = '{fv.TYPE_STATUS}' AS is_status,
+  count(*) AS events, count(DISTINCT subject) AS subjects FROM raw GROUP BY ALL""",
+)
+def sketched_counts(spark, d):
+    """Distinct subjects per week from daily sketches that were stored and read again."""
+    stored = scratch_path(spark, "sketches")
+    reports.subject_sketches(raw_events(spark, d)).write.parquet(stored)
+    sketches = spark.read.schema("type string, day date, events long, sketch binary").parquet(stored)
+    week = F.date_trunc("week", F.col("day")).cast("date").cast("string").alias("week")
+    return reports.sketched_counts(sketches, week, (F.col("type") == fv.TYPE_STATUS).alias("is_status"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -9,14 +10,22 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fv
 from tidemark.catalog.common import CHAIN, CONTRACT, RAW, adapt, load, millis, oracle, raw_events
 from tidemark.catalog.events import ORACLES as EVENT_ORACLES
+from tidemark.catalog.signals import ORACLES as SIGNAL_ORACLES
+from tidemark.catalog.signals import signal_rows, status_events
 from tidemark.catalog.table import _SENT, MESSAGES, ORACLES as TABLE_ORACLES, SOURCE, complete, new_table
+from tidemark.functions import identity
+from tidemark.operators import decode, ordered
 from tidemark.operators.dedup import dedup_latest
 from tidemark.plans import lake
+from tidemark.plans.addresses import ADDRESSES, AddressDimension
+from tidemark.plans.rollup import LatestTable
 from tidemark.session import scratch_path
 from tidemark.sources.tables import read_event_stream
 from tidemark.streaming import jobs
 from tidemark.streaming.bundles import Bounds, Bundles
 from tidemark.streaming.consume import consume
+from tidemark.streaming.rescale import NotDrained, switch
+from tidemark.streaming.silence import silence_stream
 from tidemark.streaming.throttle import throttle_stream, use_rocksdb
 
 QUERIES: dict = {}
@@ -158,7 +167,7 @@ def stream_ingest_bundles(spark, d):
     "stream_outcomes",
     """WITH x AS (SELECT event_id % 5 AS kind, event_id % 3 = 0 AS bad FROM events),
 y AS (SELECT CASE WHEN kind IN (0, 2) THEN 'attestation' WHEN kind = 1 THEN 'payload' ELSE 'connection' END AS origin,
-  CASE WHEN NOT bad OR kind > 2 THEN 'accepted' WHEN kind = 0 THEN 'unsupported_type' WHEN kind = 1 THEN 'unsupported_type' ELSE 'missing_voids_id' END AS outcome,
+  CASE WHEN NOT bad OR kind > 2 THEN 'accepted' WHEN kind = 0 THEN 'unsupported_type' WHEN kind = 1 THEN 'unsupported_type' ELSE 'tombstone_voids_id_required' END AS outcome,
   CASE WHEN kind = 1 AND NOT bad THEN 2 ELSE 1 END AS n FROM x)
 SELECT origin, outcome, CAST(sum(n) AS BIGINT) AS events FROM y GROUP BY ALL""",
 )
@@ -209,3 +218,118 @@ def stream_ingest_replayed(spark, d):
     if rows.count() != dedup_latest(rows).count():
         raise RuntimeError("a replayed batch was written twice")
     return rows.select("id", millis("time"), "data")
+
+
+@query("latest_signals_rollup", SIGNAL_ORACLES["latest_signals"])
+def latest_signals_rollup(spark, d):
+    """The latest signals kept up over five updates out of order, one of them replayed, with
+    a merge in between, equal to the computation over everything."""
+    decoded = decode.decode_arrays(status_events(spark, d), CHAIN, CONTRACT)
+    rows = decode.inline_rows(decoded, "signals", "subject")
+    latest = LatestTable(spark, scratch_path(spark, "latest"), buckets=4)
+    for step, part in enumerate((3, 0, 4, 1, 1, 2)):
+        latest.update(rows.where(F.pmod(F.xxhash64("timestamp"), F.lit(5)) == part), f"part-{part}")
+        if step == 3:
+            latest.merge("merge-1", most_parts=2)
+    return latest.read().select("subject", "name", F.unix_micros("timestamp").alias("us"), "pos", "value")
+
+
+@query("decode_with_parsers", SIGNAL_ORACLES["decode_signals"])
+def decode_with_parsers(spark, d):
+    """Twenty sources with a parser of their own: one scan, and the rows of the default."""
+    rows = status_events(spark, d).withColumn("source", F.concat(F.lit("vendor-"), (F.col("event_id") % 25).cast("string")))
+    for i in range(20):
+        decode.register_parser(f"vendor-{i}", _like_the_default)
+    try:
+        decoded = decode.decode_arrays(rows, CHAIN, CONTRACT)
+        return decoded.transform(signal_rows).select("event_id", "name", F.unix_micros("timestamp").alias("us"), "pos", "value")
+    finally:
+        for i in range(20):
+            decode.unregister_parser(f"vendor-{i}")
+
+
+def _like_the_default(text: str):
+    for e in json.loads(text).get("signals") or []:
+        value = e.get("value")
+        yield e.get("name"), e.get("timestamp"), None if value is None else value if isinstance(value, str) else json.dumps(value)
+
+
+_SERIES_GAP = 12 * 3600
+
+_SILENCES_SQL = f"""WITH t AS (SELECT DISTINCT user_id, epoch_ms(date_trunc('millisecond', ts)) AS ms FROM events),
+l AS (SELECT *, lead(ms) OVER (PARTITION BY user_id ORDER BY ms) AS following, (SELECT max(ms) FROM t) - 60000 AS seen FROM t)
+SELECT CAST(user_id AS VARCHAR) AS series, ms AS since_ms FROM l WHERE coalesce(following, seen) - ms > {_SERIES_GAP * 1000}"""
+
+
+@query("silence_stream", _SILENCES_SQL)
+def silences_of_stream(spark, d):
+    """Series of the given events that stopped for half a day, by event-time timers."""
+    rows = load(spark, d, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    source, out = scratch_path(spark, "messages"), scratch_path(spark, "silences")
+    rows.write.parquet(source)
+    use_rocksdb(spark)
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    stream = silence_stream(spark.readStream.schema(rows.schema).parquet(source), "user_id", "ts", _SERIES_GAP)
+    finished(
+        stream.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(**ONCE).start(out)
+    )
+    return spark.read.schema("series string, since_ms long").parquet(out)
+
+
+@query(
+    "address_dimension",
+    "SELECT DISTINCT user_id, true AS as_computed, CAST(0 AS BIGINT) AS learned_again FROM events",
+)
+def address_dimension(spark, d):
+    """Identifiers through a dimension that was learned in two rounds, against the checksum
+    computed row by row; a third round learns nothing."""
+    users = load(spark, d, "events").select("user_id").distinct()
+    digits = F.substring(F.sha2(F.col("user_id").cast("string"), 256), 1, 40)
+    rows = users.select("user_id", F.concat(F.lit("did:erc721:137:0x"), digits, F.lit(":7")).alias("subject"))
+    known = AddressDimension(spark, scratch_path(spark, "addresses"))
+    for part in (0, 1):
+        known.learn(rows.where(F.col("user_id") % 2 <= part), ["subject"], f"round-{part}")
+    known.learn(rows, ["subject"], "round-2")
+    again = spark.read.schema(ADDRESSES).parquet(f"{known.root}/batch=round-2").count()
+    computed = rows.select("user_id", identity.canonical_did(F.col("subject")).alias("computed"))
+    joined = known.canonical(rows, ["subject"]).join(computed, "user_id")
+    return joined.select("user_id", (F.col("subject") == F.col("computed")).alias("as_computed"), F.lit(again).cast("long").alias("learned_again"))
+
+
+@query(
+    "partition_switch",
+    "SELECT user_id, count(*) AS row_count, CAST(0 AS BIGINT) AS order_breaks, true AS refused_first FROM events GROUP BY user_id",
+)
+def partition_switch(spark, d):
+    """A change from 4 to 7 routing partitions: refused while files wait, and without a break
+    in the order of any subject once they are drained."""
+    events = load(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    half = events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0]
+    # In order of arrival; the two layouts hold the first and the second half.
+    layouts, out = [], scratch_path(spark, "routed")
+    for partitions, part in ((4, F.col("event_id") <= half), (7, F.col("event_id") > half)):
+        source = scratch_path(spark, "layout")
+        routed = events.where(part).withColumn("route", identity.route_partition(F.col("user_id").cast("string"), partitions))
+        routed.repartition("route").sortWithinPartitions("event_id").write.parquet(source)
+        layouts.append((source, scratch_path(spark, "checkpoint"), partitions))
+
+    def run(source, checkpoint, partitions, **limit):
+        def write(batch, batch_id):
+            # Layouts follow each other: the batch says when its rows were taken.
+            batch.withColumns({"layout": F.lit(partitions), "taken": F.lit(batch_id)}).write.mode("append").parquet(out)
+
+        stream = spark.readStream.schema("event_id long, user_id long, ts timestamp, route int").option("maxFilesPerTrigger", 1).parquet(source)
+        finished(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(limit or ONCE)).start())
+
+    old, new = layouts
+    run(*old, once=True)
+    refused = False
+    try:
+        switch(spark, old[1], old[0], lambda: run(*new))
+    except NotDrained:
+        refused = True
+    run(*old)
+    switch(spark, old[1], old[0], lambda: run(*new))
+    rows = spark.read.parquet(out)
+    order = ordered.order_breaks(rows, "user_id", ["layout", "event_id"], "event_id", F.col("layout"))
+    return order.withColumn("refused_first", F.lit(refused))

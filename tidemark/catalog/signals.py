@@ -123,7 +123,7 @@ merged AS (
 MISSING = -1e9
 
 
-def _rows(df):
+def signal_rows(df):
     return decode.inline_rows(df, "signals", "event_id")
 
 
@@ -137,7 +137,7 @@ def _value(c, name):
 )
 def decode_signals(spark, d):
     decoded = decode.decode_arrays(status_events(spark, d), CHAIN, CONTRACT)
-    return decoded.transform(_rows).select(
+    return decoded.transform(signal_rows).select(
         "event_id", "name", F.unix_micros("timestamp").alias("us"), "pos", "value"
     )
 
@@ -160,7 +160,7 @@ _PRUNED_SQL = f"WITH {ELEMENTS} SELECT event_id, name, us, value FROM pruned"
 def prune_signals(spark, d):
     decoded = decode.decode_arrays(status_events(spark, d), CHAIN, CONTRACT)
     pruned = decode.with_pruned(decoded, F.col("ingest_time"))
-    return pruned.transform(_rows).select(
+    return pruned.transform(signal_rows).select(
         "event_id", "name", F.unix_micros("timestamp").alias("us"), "value"
     )
 
@@ -186,7 +186,7 @@ SELECT event_id, name, us, coalesce(value, {MISSING}) AS value, coalesce(lat, {M
        coalesce(lon, {MISSING}) AS lon, coalesce(hdop, {MISSING}) AS hdop FROM merged""",
 )
 def merge_coordinates(spark, d):
-    return _merged(spark, d).transform(_rows).select(
+    return _merged(spark, d).transform(signal_rows).select(
         "event_id",
         "name",
         F.unix_micros("timestamp").alias("us"),

@@ -121,15 +121,16 @@ def did_parts(c: Column) -> Column:
     )
 
 
-def _address_of(c: Column) -> Column:
+def digits_of(c: Column) -> Column:
     """The bare 40 digits of whichever identifier form ``c`` has, else NULL."""
     digits = F.regexp_extract(c, r"^did:(?:erc721|nft|ethr):[0-9]+:(?:0[xX])?([0-9a-fA-F]{40})", 1)
     return F.when(digits != "", digits)
 
 
-def canonical_did(c: Column, legacy: bool = True, ethr: bool = False) -> Column:
-    """Canonical checksummed identifier, NULL when ``c`` has no accepted form."""
-    address = checksum_address(_address_of(c))
+def canonical_did(c: Column, legacy: bool = True, ethr: bool = False, address: Column | None = None) -> Column:
+    """Canonical checksummed identifier, NULL when ``c`` has no accepted form. ``address`` is
+    the checksummed address of ``c`` where it is known already."""
+    address = checksum_address(digits_of(c)) if address is None else address
     token_form = [checks.ERC721] + ([checks.LEGACY_NFT] if legacy else [])
     out = None
     for pattern in token_form:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fv
 from tidemark.operators.ordered import running_stats
 
+CHUNK_SNAPSHOTS = 65_536
+
 
 def _ago(as_of: Column, seconds: int) -> Column:
     return as_of - F.make_dt_interval(secs=F.lit(seconds))
@@ -72,8 +74,13 @@ def unconsumed_expiring(snapshots: DataFrame, stale: DataFrame, cutoff: Column)
         F.col("snapshot_id").alias("at"), F.lit(1).alias("is_cursor"), "consumer", F.lit(0).cast("long").alias("one")
     )
     total = marks.agg(F.count("*"))
+    # Snapshot ids are unique, so a stretch of them bounds a chunk.
     counted = running_stats(
-        marks.unionByName(cursors), [], ["at", "is_cursor", "consumer"], running={"seen": "one"}
+        marks.unionByName(cursors),
+        [],
+        ["at", "is_cursor", "consumer"],
+        running={"seen": "one"},
+        chunk=F.floor(F.col("at") / CHUNK_SNAPSHOTS),
     )
     return counted.where("is_cursor = 1").select(
         "consumer",

@@ -3,8 +3,9 @@ decode, prune, coordinate merge and packing are array expressions without a shuf
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from tidemark import fixed_values as fv
 from tidemark.functions import checks, identity
 from tidemark.operators.dedup import keep_latest
 
-_PAYLOAD = "struct<signals:array<struct<name:string,timestamp:string,value:string>>>"
+_ELEMENTS = "struct<signals:array<struct<name:string,timestamp:string,value:string>>>"
 _TYPED = "array<struct<timestamp:timestamp,name:string,pos:int,value:double>>"
 _LOCATION = "struct<lat:double,lon:double,hdop:double>"
 
@@ -29,6 +30,23 @@ def unregister_decoder(source: str) -> None:
     _decoders.pop(source, None)
 
 
+# A parser of one payload text: elements as (name, timestamp text, value text).
+Parser = Callable[[str], Iterable[tuple[str | None, str | None, str | None]]]
+
+_parsers: dict[str, Parser] = {}
+
+
+def register_parser(source: str, parser: Parser) -> None:
+    """Use a Python parser for one source address. All parsers are served by one pass over
+    the rows, whatever their number; what they return is judged like the default payload. A
+    parser that fails makes the payload one of no elements and one error."""
+    _parsers[source] = parser
+
+
+def unregister_parser(source: str) -> None:
+    _parsers.pop(source, None)
+
+
 def inline_rows(df: DataFrame, array: str, *keep: Column | str) -> DataFrame:
     """One row per array element; an element of all NULLs does not count as one.
 
@@ -41,7 +59,28 @@ def inline_rows(df: DataFrame, array: str, *keep: Column | str) -> DataFrame:
     return rows.where(" OR ".join(f"`{name}` IS NOT NULL" for name in fields))
 
 
-def decode_default(raw: DataFrame) -> DataFrame:
+def parse_elements(source: Column, data: Column, parsers: dict[str, Parser]) -> Column:
+    """struct(signals, failed) of the payloads whose source has a parser, else NULL: one
+    Arrow UDF that picks the parser row by row."""
+
+    @F.pandas_udf(f"{_ELEMENTS[:-1]},failed:boolean>")
+    def parse(sources: pd.Series, payloads: pd.Series) -> pd.DataFrame:
+        found, failed = [], []
+        for key, text in zip(sources, payloads):
+            try:
+                elements = [dict(zip(("name", "timestamp", "value"), e)) for e in parsers[key](text)] if text is not None else []
+                found.append(elements)
+                failed.append(False)
+            except Exception:  # noqa: BLE001 - a vendor's parser may raise anything
+                found.append([])
+                failed.append(True)
+        return pd.DataFrame({"signals": found, "failed": failed})
+
+    known = source.isin(*parsers)
+    return F.when(known, parse(F.when(known, source), F.when(known, data)))
+
+
+def decode_default(raw: DataFrame, parsers: dict[str, Parser] | None = None) -> DataFrame:
     """Add ``signals`` (good elements) and ``decode_errors`` (reasons of the others)."""
 
     def typed(x: Column, i: Column) -> Column:
@@ -62,13 +101,19 @@ def decode_default(raw: DataFrame) -> DataFrame:
     def good(t: Column) -> Column:
         return (t["name"] != "") & t["timestamp"].isNotNull() & t["value"].isNotNull()
 
-    elements = F.from_json("data", _PAYLOAD)["signals"]
+    elements = F.from_json("data", _ELEMENTS)["signals"]
     none = F.array().cast(_TYPED)
     faults = F.filter(F.transform("_t", fault), lambda r: r.isNotNull())
+    if parsers:
+        raw = raw.withColumn("_parsed", parse_elements(F.col("source"), F.col("data"), parsers))
+        own = F.coalesce(F.col("source").isin(*parsers), F.lit(False))
+        elements = F.when(own, F.col("_parsed.signals")).otherwise(elements)
+        failed = F.coalesce(F.col("_parsed.failed"), F.lit(False))
+        faults = F.when(failed, F.array(F.lit("parser_failed"))).otherwise(faults)
     return (
         raw.withColumn("_t", F.coalesce(F.transform(elements, typed), none))
         .withColumns({"signals": F.filter("_t", good), "decode_errors": faults})
-        .drop("_t")
+        .drop("_t", "_parsed")
     )
 
 
@@ -79,9 +124,9 @@ def decode_arrays(raw: DataFrame, chain: int | str, contract: str) -> DataFrame:
         & identity.is_vehicle_subject(F.col("subject"), chain, contract)
     )
     if not _decoders:
-        return decode_default(wanted)
+        return decode_default(wanted, dict(_parsers))
     known = F.col("source").isin(*_decoders)
-    out = decode_default(wanted.where(~F.coalesce(known, F.lit(False))))
+    out = decode_default(wanted.where(~F.coalesce(known, F.lit(False))), dict(_parsers))
     for source, decoder in _decoders.items():
         out = out.unionByName(decoder(wanted.where(F.col("source") == source)).select(*out.columns))
     return out

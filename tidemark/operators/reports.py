@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,13 +33,31 @@ def table_counts(raw_events: DataFrame) -> DataFrame:
     )
 
 
-def table_counts_approximate(raw_events: DataFrame) -> DataFrame:
-    """The dashboard variant: one pass, sketched subject counts."""
+# Sketches of 2^12 registers: a relative error of 1.6 % in two of three cases.
+SKETCH_BITS = 12
+
+
+def subject_sketches(raw_events: DataFrame) -> DataFrame:
+    """Per type and day: rows, and a sketch of the subjects. Sketches are made in one pass with
+    map-side combining and can be stored; their size is bounded whatever they have seen."""
     return raw_events.groupBy("type", F.to_date("time").alias("day")).agg(
-        F.count("*").alias("events"), F.approx_count_distinct("subject").alias("subjects")
+        F.count("*").alias("events"), F.hll_sketch_agg("subject", SKETCH_BITS).alias("sketch")
     )
 
 
+def sketched_counts(sketches: DataFrame, *by: Column | str) -> DataFrame:
+    """Rows and distinct subjects over any grouping of stored sketches, without the rows:
+    the sketch of a union is the union of the sketches."""
+    return sketches.groupBy(*by).agg(
+        F.sum("events").alias("events"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("subjects")
+    )
+
+
+def table_counts_approximate(raw_events: DataFrame) -> DataFrame:
+    """The dashboard variant: one pass, sketched subject counts."""
+    return sketched_counts(subject_sketches(raw_events), "type", "day")
+
+
 def layout_audit(stored: DataFrame) -> DataFrame:
     """Per file: rows, rows out of (subject, time) order, rows outside their date.
 

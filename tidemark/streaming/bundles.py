@@ -93,10 +93,14 @@ class Bundles:
                 files = self._files(target)
                 files.mkdirs(target.getParent())
                 files.rename(path, target)
-        return [self._finish(path, as_of) for path in self._folders(self.ready)]
+        done = [self._finish(path, as_of) for path in self._folders(self.ready)]
+        return [number for number in done if number is not None]
 
-    def _finish(self, bundle, as_of: datetime) -> int:
+    def _finish(self, bundle, as_of: datetime) -> int | None:
         names = [p.getName().removeprefix("batch=") for p in self._folders(bundle.toString())]
+        if not names:
+            self._files(bundle).delete(bundle, True)
+            return None
         staged = self.table.spark.read.parquet(*[f"{bundle.toString()}/batch={n}" for n in names])
         size = self._files(bundle).getContentSummary(bundle).getLength()
         count = staged.count()
