@@ -253,7 +253,8 @@ def confirmed_links(groups: DataFrame, docs: DataFrame, sets: DataFrame, width:
 
 def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that the minwise tokens, a sample of each set, show most often, sorted, and
-    how often they were seen."""
+    how often they were seen; at most ``COMMON_SHINGLES``. They decide the order in which
+    the exact join looks at shingles, not what it finds."""
     target = arrow_schema("shingle long", sets.sparkSession)
 
     def run(batches):
@@ -264,7 +265,17 @@ def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(((tokens * _INVERSE) ^ _XOR).view(np.int64).ravel())], schema=target)
 
     seen = sets.select("tokens").mapInArrow(run, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    found = seen.where(F.col("n") >= SEEN_OFTEN).orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES).toPandas()
+    seen = written(seen.where(F.col("n") >= SEEN_OFTEN), "seen-shingles")
+    # How often one must be seen so that few enough are: from counts of counts, in steps of a
+    # sixteenth of a power of two. No task sorts or holds the shingles.
+    step = F.floor(F.log2("n") * 16).cast("long")
+    left, least = COMMON_SHINGLES, None
+    for row in sorted(seen.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("rows")).collect(), reverse=True):
+        left -= row["rows"]
+        if left < 0:
+            break
+        least = row["step"]
+    found = (seen.where(step >= least) if least is not None else seen.limit(0)).toPandas()
     shingles, n = found["shingle"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
     order = np.argsort(shingles)
     return shingles[order], n[order]
