@@ -1,7 +1,8 @@
 """Text scores by a probabilistic suffix tree over bytes, and by word counts.
 
-Training counts every byte with the up to seven bytes before it, over all training texts. A
-context is kept if it is frequent enough and its next-byte distribution differs from that
+Training counts every byte with the up to seven bytes before it, over all training texts, in
+three passes of growing length: a longer context is counted only where the shorter one that
+it ends in is frequent, so rare ones leave before they are shuffled. A context is kept if it is frequent enough and its next-byte distribution differs from that
 of the next shorter context by a divergence test; distributions are smoothed with those of
 shorter contexts. For scoring the tree becomes an automaton whose state is the longest kept
 suffix of what was read, so a text costs one table look-up a byte.
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, chunks_of_bytes, load, word_hashes, written
+from tidemark.llm.common import arrow_schema, chunks_of_bytes, load, scratch, word_hashes, written
 
 FOLDS, HELD_OUT = 7, 2
 DEPTH = 7  # longest context in bytes: eight bytes make one number
@@ -30,6 +31,8 @@ DEPTH = 7  # longest context in bytes: eight bytes make one number
 FREQUENT = 1e-5
 COMMON = 2e-6
 END = 10  # the byte that ends a text and, repeated, stands before it; no word holds it
+# Shortest and longest contexts that one pass over the texts counts.
+PASSES = ((0, 3), (4, 5), (6, DEPTH))
 LANES = 2048
 FLUSH = 1_000_000
 WORD, GRAM, TEXTS = 0, 1, 2
@@ -51,12 +54,13 @@ def stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, begins, wanted
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """Every byte from place ``DEPTH`` on with the ``DEPTH`` bytes before it, as a number
-    whose lowest byte is the last."""
-    out = data[: len(data) - DEPTH].astype(np.int64)
-    for i in range(1, DEPTH + 1):
-        out = out << 8 | data[i : len(data) - DEPTH + i]
+def grams(data: np.ndarray, size: int = DEPTH + 1) -> np.ndarray:
+    """Every byte from place ``DEPTH`` on with the bytes before it, ``size`` together, as a
+    number whose lowest byte is the last."""
+    n, first = len(data) - DEPTH, DEPTH - size + 1
+    out = data[first : first + n].astype(np.int64)
+    for i in range(first + 1, DEPTH + 1):
+        out = out << 8 | data[i : i + n]
     return out
 
 
@@ -91,14 +95,18 @@ class Tally:
         return both
 
 
-def corpus_counts(training: DataFrame, text_col: str) -> DataFrame:
-    """``kind``, ``item``, ``n``: counts of word hashes, of grams, and of texts, over all
-    training texts. Every task sums its own first."""
+def corpus_counts(training: DataFrame, text_col: str, size: int, frequent: np.ndarray | None = None, length: int = 0, with_words: bool = False) -> DataFrame:
+    """``kind``, ``item``, ``n``: counts of grams of ``size`` bytes over all training texts,
+    and on wish of word hashes and texts. With ``frequent``, only grams count whose byte
+    stands behind one of these contexts of ``length`` bytes. Every task sums its own first."""
     schema = "kind int, item long, n long"
     target = arrow_schema(schema, training.sparkSession)
+    shared = training.sparkSession.sparkContext.broadcast(frequent)
+    context = np.int64((1 << 8 * length) - 1)
 
     def run(batches):
         tallies, texts = {WORD: Tally(), GRAM: Tally()}, 0
+        alive = shared.value
 
         def rows(kind, keys, counts):
             columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts.astype(np.int64))]
@@ -110,27 +118,30 @@ def corpus_counts(training: DataFrame, text_col: str) -> DataFrame:
             for first, last in chunks_of_bytes(raw):
                 own = raw[first:last]
                 data, _, wanted = stream(own)
-                tallies[GRAM].add(grams(data)[wanted[DEPTH:]])
-                tallies[WORD].add(word_hashes(own)[0].view(np.int64))
+                found = grams(data, size)[wanted[DEPTH:]]
+                if alive is not None:
+                    before = found >> 8 & context
+                    at = np.minimum(np.searchsorted(alive, before), max(0, len(alive) - 1))
+                    found = found[alive[at] == before] if len(alive) else found[:0]
+                tallies[GRAM].add(found)
+                if with_words:
+                    tallies[WORD].add(word_hashes(own)[0].view(np.int64))
             for kind, tally in tallies.items():
                 if tally.held > FLUSH:  # still, after merging: hand on and start anew
                     yield rows(kind, *tally.take())
         for kind, tally in tallies.items():
             yield rows(kind, *tally.take())
-        yield rows(TEXTS, np.zeros(1, np.int64), np.array([texts]))
+        if with_words:
+            yield rows(TEXTS, np.zeros(1, np.int64), np.array([texts]))
 
     partial = training.select(text_col).mapInArrow(run, schema)
     return written(partial.groupBy("kind", "item").agg(F.sum("n").alias("n")), "counts")
 
 
-def kept_contexts(counts: DataFrame, frequent: float = FREQUENT) -> list:
-    """Rows (length, context, symbol, n) of the contexts that stay, and all shorter ones
-    they end in. Their number is bounded by the share a context needs."""
-    gram = counts.where(F.col("kind") == GRAM)
-    total = gram.agg(F.sum("n")).first()[0]
-    if not total:
-        return []
-    length = F.explode(F.array(*map(F.lit, range(DEPTH + 1)))).alias("length")
+def frequent_contexts(gram: DataFrame, low: int, high: int, least: float) -> DataFrame:
+    """``length``, ``context``, ``symbol``, ``n``, ``total`` of the contexts of ``low`` to
+    ``high`` bytes that were seen at least so often."""
+    length = F.explode(F.array(*map(F.lit, range(low, high + 1)))).alias("length")
     mask = F.expr("shiftleft(1L, 8 * length) - 1")
     ends = (
         gram.select("item", "n", length)
@@ -138,8 +149,24 @@ def kept_contexts(counts: DataFrame, frequent: float = FREQUENT) -> list:
         .groupBy("length", "context", "symbol")
         .agg(F.sum("n").alias("n"))
     )
-    totals = ends.groupBy("length", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= frequent * total)
-    often = written(ends.join(totals, ["length", "context"]), "contexts")
+    totals = ends.groupBy("length", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= least)
+    return written(ends.join(totals, ["length", "context"]), "contexts")
+
+
+def kept_contexts(training: DataFrame, text_col: str, counts: DataFrame, frequent: float = FREQUENT) -> list:
+    """Rows (length, context, symbol, n) of the contexts that stay, and all shorter ones
+    they end in. Their number is bounded by the share a context needs. ``counts`` are those
+    of the first pass."""
+    total = counts.where(F.col("kind") == GRAM).agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    often = None
+    for low, high in PASSES:
+        if often is not None:
+            known = often.where(F.col("length") == low - 1).select("context").distinct().toPandas()["context"]
+            counts = corpus_counts(training, text_col, high + 1, np.sort(known.to_numpy(np.int64)), low - 1)
+        found = frequent_contexts(counts.where(F.col("kind") == GRAM), low, high, frequent * total)
+        often = found if often is None else often.unionByName(found)
     shorter = F.expr("context & (shiftleft(1L, 8 * greatest(length - 1, 0)) - 1)")
     parent = often.select(
         (F.col("length") + 1).alias("length"), F.col("context").alias("shorter"), "symbol", (F.col("n") / F.col("total")).alias("share")
@@ -254,7 +281,8 @@ def score_texts(docs: DataFrame, learn: Column, frequent: float = FREQUENT, comm
     learn from all bytes are equally likely; other columns are ignored.
     """
     spark = docs.sparkSession
-    counts = corpus_counts(docs.where(learn), text_col)
+    training = docs.where(learn)
+    counts = corpus_counts(training, text_col, PASSES[0][1] + 1, with_words=True)
     words = counts.where(F.col("kind") == WORD)
     known, tokens = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = counts.where(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -262,7 +290,8 @@ def score_texts(docs: DataFrame, learn: Column, frequent: float = FREQUENT, comm
     different = known + (texts > 0)
     denominator = math.log10(tokens + different + 1)
     often = words.where(F.col("n") >= common * tokens).select("item", "n").orderBy("item").toPandas()
-    tree = [tuple(r) for r in kept_contexts(counts, frequent)]
+    with scratch(spark):
+        tree = [tuple(r) for r in kept_contexts(training, text_col, counts, frequent)]
     shared = spark.sparkContext.broadcast((often["item"].to_numpy(np.int64), often["n"].to_numpy(np.int64), tree))
     key = uuid.uuid4().hex
     end_log = math.log10(texts + 1)
