@@ -287,11 +287,12 @@ def test_throttle_has_one_state_row_a_key(spark, tmp_path, rocksdb):
 
 def test_silence_is_reported_once_over_restarts(spark, tmp_path, rocksdb):
     source, checkpoint, out = (str(tmp_path / n) for n in ("in", "cp", "out"))
-    stream = silence.silence_stream(spark.readStream.schema("s string, ts timestamp").parquet(source), "s", "ts", 900, "10 seconds")
 
     def feed(*samples):
         rows = [(s, datetime(2026, 6, 1) + timedelta(minutes=m)) for s, m in samples]
         spark.createDataFrame(rows, "s string, ts timestamp").coalesce(1).write.mode("append").parquet(source)
+        samples_in = spark.readStream.schema("s string, ts timestamp").parquet(source)
+        stream = silence.silence_stream(samples_in, "s", "ts", 900, "10 seconds")
         got = emitted(spark, stream, checkpoint, out).select("series", silence.since().alias("at")).collect()
         return sorted((r.series, int((r.at - datetime(2026, 6, 1)).total_seconds() / 60)) for r in got)
 
@@ -405,20 +406,20 @@ def test_address_dimension_has_no_udf_beside_the_events(spark, tmp_path):
 
 def test_switch_is_refused_until_the_stream_is_drained(spark, tmp_path):
     source, checkpoint, out = (str(tmp_path / n) for n in ("in", "cp", "out"))
-    for i in range(2):
-        spark.range(5).coalesce(1).write.mode("append").parquet(source)
+    spark.range(5).coalesce(1).write.mode("append").parquet(source)
 
-    def go(**trigger):
-        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
-        run(stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(**trigger).start(out))
+    def go():
+        stream = spark.readStream.schema("id long").parquet(source)
+        run(stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(**ONCE).start(out))
 
     with pytest.raises(rescale.NotDrained):
         rescale.switch(spark, checkpoint, source, lambda: "new")
-    go(once=True)
+    go()
+    spark.range(5).coalesce(1).write.mode("append").parquet(source)
     assert rescale.drain_report(spark, checkpoint, source).first().waiting_files == 1
     with pytest.raises(rescale.NotDrained):
         rescale.switch(spark, checkpoint, source, lambda: "new")
-    go(**ONCE)
+    go()
     assert rescale.switch(spark, checkpoint, source, lambda: "new") == "new"
     # A planned micro-batch that did not finish is not drained either.
     import os

@@ -304,32 +304,37 @@ def partition_switch(spark, d):
     """A change from 4 to 7 routing partitions: refused while files wait, and without a break
     in the order of any subject once they are drained."""
     events = load(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    half = events.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0]
-    # In order of arrival; the two layouts hold the first and the second half.
-    layouts, out = [], scratch_path(spark, "routed")
-    for partitions, part in ((4, F.col("event_id") <= half), (7, F.col("event_id") > half)):
-        source = scratch_path(spark, "layout")
+    first, half = events.agg(F.expr("percentile_approx(event_id, array(0.25, 0.5))")).first()[0]
+    out, schema = scratch_path(spark, "routed"), "event_id long, user_id long, ts timestamp, route int"
+    old, new = ((scratch_path(spark, "layout"), scratch_path(spark, "checkpoint"), n) for n in (4, 7))
+
+    def send(layout, part):
+        source, _, partitions = layout
         routed = events.where(part).withColumn("route", identity.route_partition(F.col("user_id").cast("string"), partitions))
-        routed.repartition("route").sortWithinPartitions("event_id").write.parquet(source)
-        layouts.append((source, scratch_path(spark, "checkpoint"), partitions))
+        routed.repartition("route").sortWithinPartitions("event_id").write.mode("append").parquet(source)
+
+    def run(layout):
+        source, checkpoint, partitions = layout
 
-    def run(source, checkpoint, partitions, **limit):
         def write(batch, batch_id):
-            # Layouts follow each other: the batch says when its rows were taken.
+            # When the rows were taken: layouts follow each other, and so do their batches.
             batch.withColumns({"layout": F.lit(partitions), "taken": F.lit(batch_id)}).write.mode("append").parquet(out)
 
-        stream = spark.readStream.schema("event_id long, user_id long, ts timestamp, route int").option("maxFilesPerTrigger", 1).parquet(source)
-        finished(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(limit or ONCE)).start())
+        stream = spark.readStream.schema(schema).parquet(source)
+        finished(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**ONCE).start())
 
-    old, new = layouts
-    run(*old, once=True)
+    send(old, F.col("event_id") <= first)
+    run(old)
+    send(old, (F.col("event_id") > first) & (F.col("event_id") <= half))
+    send(new, F.col("event_id") > half)
     refused = False
     try:
-        switch(spark, old[1], old[0], lambda: run(*new))
+        switch(spark, old[1], old[0], lambda: run(new))
     except NotDrained:
         refused = True
-    run(*old)
-    switch(spark, old[1], old[0], lambda: run(*new))
+    run(old)
+    switch(spark, old[1], old[0], lambda: run(new))
     rows = spark.read.parquet(out)
-    order = ordered.order_breaks(rows, "user_id", ["layout", "event_id"], "event_id", F.col("layout"))
+    turn = F.col("layout") * 1000 + F.col("taken")
+    order = ordered.order_breaks(rows, "user_id", ["layout", "taken", "event_id"], "event_id", turn)
     return order.withColumn("refused_first", F.lit(refused))

@@ -54,6 +54,8 @@ POINT_READS = {
     "parquet.bloom.filter.enabled#subject": "true",
     "parquet.bloom.filter.enabled#id": "true",
     "parquet.enable.dictionary#id": "false",
+    # Sized by what a row group holds; the fixed size is a megabyte a column.
+    "parquet.bloom.filter.adaptive.enabled": "true",
 }
 
 

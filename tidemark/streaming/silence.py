@@ -42,13 +42,14 @@ class Silences(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(newest + self.gap_ms)
             self.last.update((newest, False))
-        yield self._rows(key, starts)
+        if starts:
+            yield self._rows(key, starts)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last, reported = self.last.get()
         if not reported:
             self.last.update((last, True))
-        yield self._rows(key, [] if reported else [last])
+            yield self._rows(key, [last])
 
     def close(self) -> None:
         pass
