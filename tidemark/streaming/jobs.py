@@ -72,6 +72,7 @@ def normalized(events: DataFrame) -> DataFrame:
     broken = payloads_in.where("reject_reason IS NOT NULL")
     back = whole.unionByName(broken).select(*events.columns)
     every = connection.unionByName(attested, allowMissingColumns=True)
+    fanned = fanned.withColumn("origin", F.lit(PAYLOAD))
     every = every.unionByName(fanned, allowMissingColumns=True).unionByName(back, allowMissingColumns=True)
     gate = F.coalesce("reject_reason", normalize.fingerprint_gate(), normalize.poison_fault())
     return every.withColumn("reject_reason", gate)
