@@ -142,14 +142,14 @@ def point_read(spark, d):
 SELECT n AS events, true AS files_bounded, 2 AS snapshots, CAST(0 AS BIGINT) AS waiting FROM x""",
 )
 def stream_ingest_bundles(spark, d):
-    """Four micro-batches too small for a bundle: nothing is committed before the hard age
-    is reached, then all of them at once; a fifth is written at the end."""
+    """Two micro-batches too small for a bundle: nothing is committed before the hard age
+    is reached, then both at once; two more are written at the end."""
     messages = adapt(spark, d, MESSAGES, ("ingest_time",)).withColumn("headers", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
     bounds = Bounds(rows=500, bytes=1 << 20, soft_bytes=1 << 40, hard_seconds=3600)
     late = F.col("event_id") % 5 == 4
     for part, at_once in ((~late, False), (late, True)):
-        messages.where(part).select("value", "headers", "ingest_time").repartition(4).write.mode("append").parquet(source)
+        messages.where(part).select("value", "headers", "ingest_time").repartition(2).write.mode("append").parquet(source)
         stream = read_event_stream(spark, source, 1)
         finished(jobs.ingest_query(stream, table, checkpoint, trigger=ONCE, bounds=bounds))
         if table.last_snapshot() != (1 if at_once else 0):
@@ -172,14 +172,14 @@ y AS (SELECT CASE WHEN kind IN (0, 2) THEN 'attestation' WHEN kind = 1 THEN 'pay
 SELECT origin, outcome, CAST(sum(n) AS BIGINT) AS events FROM y GROUP BY ALL""",
 )
 def stream_outcomes(spark, d):
-    """What became of every event, counted by the stream in several batches and two runs."""
+    """What became of every event, counted by the stream in two batches and two runs."""
     sent = adapt(spark, d, _SENT, ("ingest_time",))
     pairs = {"origin": F.col("origin"), "caller": F.lit(SOURCE), "signature-valid": F.lit("true")}
     headers = F.map_from_arrays(F.array(*map(F.lit, pairs)), F.array(*pairs.values()))
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
     for part in (0, 1):
         rows = sent.where(F.col("event_id") % 2 == part).select("value", headers.alias("headers"), "ingest_time")
-        rows.repartition(2).write.mode("append").parquet(source)
+        rows.repartition(1).write.mode("append").parquet(source)
         finished(jobs.ingest_query(read_event_stream(spark, source, 1), table, checkpoint, trigger=ONCE))
     return jobs.outcome_counts(table)
 
