@@ -250,7 +250,7 @@ def test_tree_scores_by_the_longest_kept_suffix():
         for length in (0, 1, 3):  # contexts of two bytes are not kept
             rows[length, gram >> 8 & (1 << 8 * length) - 1, gram & 255] += n
     rows = [(*k, n) for k, n in rows.items()]
-    tree = language_model.SuffixTree(rows)
+    tree = language_model.SuffixTree(tuple(np.array(c) for c in zip(*sorted(rows))))
     follow = {}
     for length, context, symbol, n in rows:
         follow.setdefault(int(context).to_bytes(length, "big"), {})[symbol] = n

@@ -153,18 +153,21 @@ def frequent_contexts(gram: DataFrame, low: int, high: int, least: float) -> Dat
     return written(ends.join(totals, ["length", "context"]), "contexts")
 
 
-def kept_contexts(training: DataFrame, text_col: str, counts: DataFrame, frequent: float = FREQUENT) -> list:
-    """Rows (length, context, symbol, n) of the contexts that stay, and all shorter ones
-    they end in. Their number is bounded by the share a context needs. ``counts`` are those
-    of the first pass."""
+Contexts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def kept_contexts(training: DataFrame, text_col: str, counts: DataFrame, frequent: float = FREQUENT) -> Contexts:
+    """Arrays of length, context, symbol and n of the contexts that stay, and all shorter
+    ones they end in, in order of length and context. Their number is bounded by the share a
+    context needs. ``counts`` are those of the first pass."""
     total = counts.where(F.col("kind") == GRAM).agg(F.sum("n")).first()[0]
     if not total:
-        return []
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
     often = None
     for low, high in PASSES:
         if often is not None:
-            known = often.where(F.col("length") == low - 1).select("context").distinct().toPandas()["context"]
-            counts = corpus_counts(training, text_col, high + 1, np.sort(known.to_numpy(np.int64)), low - 1)
+            known = often.where(F.col("length") == low - 1).select("context").distinct().toArrow()["context"]
+            counts = corpus_counts(training, text_col, high + 1, np.sort(known.to_numpy()), low - 1)
         found = frequent_contexts(counts.where(F.col("kind") == GRAM), low, high, frequent * total)
         often = found if often is None else often.unionByName(found)
     shorter = F.expr("context & (shiftleft(1L, 8 * greatest(length - 1, 0)) - 1)")
@@ -187,22 +190,32 @@ def kept_contexts(training: DataFrame, text_col: str, counts: DataFrame, frequen
     )
     root = often.where("length = 0").select("length", "context")
     chosen = upward.union(root).distinct()
-    return often.join(chosen, ["length", "context"], "left_semi").select("length", "context", "symbol", "n").collect()
+    kept = often.join(chosen, ["length", "context"], "left_semi")
+    kept = kept.select(F.col("length").cast("byte").alias("length"), "context", F.col("symbol").cast("short").alias("symbol"), "n")
+    columns = [c.to_numpy() for c in kept.toArrow().columns]
+    order = np.lexsort((columns[2], columns[1], columns[0]))
+    return tuple(c[order] for c in columns)
 
 
 class SuffixTree:
     """Automaton of the kept contexts: next state and log10 probability of every byte."""
 
-    def __init__(self, rows: list[tuple[int, int, int, int]]):
-        follow: dict[bytes, dict[int, int]] = {b"": {}}
-        for length, context, symbol, n in rows:
-            follow.setdefault(int(context).to_bytes(length, "big"), {})[symbol] = n
+    def __init__(self, kept_rows: Contexts):
+        lengths, contexts, symbols, counts = kept_rows
+        new = np.append(True, (lengths[1:] != lengths[:-1]) | (contexts[1:] != contexts[:-1])) if len(lengths) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        ends = np.append(first[1:], len(lengths))
+        # Each context with the stretch of its next symbols.
+        follow: dict[bytes, tuple[int, int]] = {b"": (0, 0)}
+        for at, end in zip(first.tolist(), ends.tolist()):
+            follow[int(contexts[at]).to_bytes(int(lengths[at]), "big")] = (at, end)
         kept = set(follow)
-        self.symbols = sorted({s for f in follow.values() for s in f} | {END})
+        self.symbols = sorted({END, *np.unique(symbols).tolist()})
         width = len(self.symbols) + 1  # the last class: bytes never seen
         self.width = width
         self.symbol_class = np.full(256, width - 1, np.int64)
         self.symbol_class[self.symbols] = np.arange(width - 1)
+        classes = self.symbol_class[symbols]
         states = set(kept)
         for context in kept:  # what an automaton reads on the way to a context
             states.update(context[:i] for i in range(1, len(context)))
@@ -217,33 +230,33 @@ class SuffixTree:
                 suffix = suffix[1:]
             back[i] = place[suffix] if i else 0
         root = probability[0]
-        seen = follow[b""]
-        total = sum(seen.values()) + 256
+        seen = slice(*follow[b""])
+        total = int(counts[seen].sum()) + 256
         root[:-1] = 1 / total
         root[-1] = 1 / total  # of each byte never seen
-        for symbol, n in seen.items():
-            root[self.symbol_class[symbol]] = (n + 1) / total
-        for i, context in enumerate(order):
-            if not i:
-                continue
-            above = probability[back[i]]
-            own = follow.get(context)
-            if own is None:
-                probability[i] = above
-                continue
-            # Shorter contexts weigh as much as there are different next bytes here.
-            weight = len(own)
-            probability[i] = above * weight
-            for symbol, n in own.items():
-                probability[i, self.symbol_class[symbol]] += n
-            probability[i] /= sum(own.values()) + weight
-        for i, context in enumerate(order):
-            if i:
-                onward[i] = onward[back[i]]
-            for symbol in self.symbols:
-                child = place.get(context + bytes([symbol]))
-                if child is not None:
-                    onward[i, self.symbol_class[symbol]] = child
+        root[classes[seen]] = (counts[seen] + 1) / total
+        # All states of a length at once; what they take over is of shorter ones.
+        sizes = np.array([len(c) for c in order])
+        levels = np.searchsorted(sizes, np.arange(sizes[-1] + 2))
+        leads_from = np.array([0, *(place[c[:-1]] for c in order[1:])])
+        leads_by = np.array([0, *(self.symbol_class[c[-1]] for c in order[1:])])
+        stretch = np.array([follow.get(c, (0, 0)) for c in order])
+        for size, (start, end) in enumerate(zip(levels[:-1], levels[1:])):
+            here = np.arange(start, end)
+            if size:
+                onward[here] = onward[back[here]]
+                # Shorter contexts weigh as much as there are different next bytes here.
+                weight = stretch[here, 1] - stretch[here, 0]
+                own, weight = here[weight > 0], weight[weight > 0]
+                probability[here] = probability[back[here]]
+                probability[own] *= weight.astype(np.float32)[:, None]
+                row = np.repeat(own, weight)
+                at = np.concatenate([np.arange(*s) for s in stretch[own]]) if len(own) else np.zeros(0, np.int64)
+                probability[row, classes[at]] += counts[at].astype(np.float32)
+                sums = np.add.reduceat(counts[at], np.cumsum(weight) - weight) if len(own) else weight
+                probability[own] /= (sums + weight).astype(np.float32)[:, None]
+            longer = np.arange(end, levels[size + 2] if size + 2 < len(levels) else end)
+            onward[leads_from[longer], leads_by[longer]] = longer
         self.onward = onward.ravel()
         self.log = np.log10(probability, out=probability).ravel()
         self.states = len(order)
@@ -289,10 +302,10 @@ def score_texts(docs: DataFrame, learn: Column, frequent: float = FREQUENT, comm
     tokens += texts
     different = known + (texts > 0)
     denominator = math.log10(tokens + different + 1)
-    often = words.where(F.col("n") >= common * tokens).select("item", "n").orderBy("item").toPandas()
+    often = words.where(F.col("n") >= common * tokens).select("item", "n").orderBy("item").toArrow()
     with scratch(spark):
-        tree = [tuple(r) for r in kept_contexts(training, text_col, counts, frequent)]
-    shared = spark.sparkContext.broadcast((often["item"].to_numpy(np.int64), often["n"].to_numpy(np.int64), tree))
+        tree = kept_contexts(training, text_col, counts, frequent)
+    shared = spark.sparkContext.broadcast((often["item"].to_numpy(), often["n"].to_numpy(), tree))
     key = uuid.uuid4().hex
     end_log = math.log10(texts + 1)
 
