@@ -134,3 +134,22 @@ def test_decode_stream_is_replay_safe(spark, tmp_path):
         run(jobs.decode_query(stream, target, str(tmp_path / checkpoint), 137, CONTRACT, trigger=ONCE))
     decoded = jobs.read_lanes(spark, target)
     assert {r.name_token: r["count"] for r in decoded.groupBy("name_token").count().collect()} == {"a_b": 6, "c": 6}
+
+
+def test_messages_without_an_id_are_told_apart_by_their_text(spark, tmp_path):
+    """Two events of one millisecond that differ in their data only; true copies still drop."""
+    bodies = [json.dumps({k: v for k, v in json.loads(body(4, data={"n": i})).items() if k != "id"}) for i in range(3)]
+    drop_file(spark, str(tmp_path / "in"), [*bodies, bodies[0], body(7), body(7)])
+    table = RawEventTable(spark, str(tmp_path / "lake"))
+    ingest(spark, tmp_path, table)
+    assert table.read().count() == 4
+    assert table.read().select("id").distinct().count() == 4
+
+
+def test_one_file_of_messages_is_work_for_all_cores(spark, tmp_path):
+    drop_file(spark, str(tmp_path / "in"), [body(i) for i in range(100)])
+    tasks = []
+    rows = read_event_stream(spark, str(tmp_path / "in")).withColumn("task", F.spark_partition_id())
+    count = lambda batch, _: tasks.append(batch.select("task").distinct().count())
+    run(rows.writeStream.foreachBatch(count).option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
+    assert tasks[0] == spark.sparkContext.defaultParallelism

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import fixed_values as fv
-from tidemark.functions import identity
+from tidemark.functions import checks, identity
 from tidemark.operators import decode, normalize, payloads
 from tidemark.operators.attest import normalize_attestations
 from tidemark.operators.dedup import keep_latest
@@ -41,12 +43,18 @@ def parsed(messages: DataFrame) -> DataFrame:
 def dedup_arrivals(events: DataFrame, window: str = "2 minutes") -> DataFrame:
     """First arrival of each message inside the arrival window.
 
+    A message that brings its whole event key is known by it. One that leaves a part to its
+    defaults is known by its text and caller: two of these are not one event because they
+    agree in the parts they have.
+
     The window runs on the time at which a micro-batch takes the row, which never goes
     back, so no row is ever late: old events, slow partitions and backlogs all pass. Copies
     outside the window are left to the reader (``dedup_latest``).
     """
-    whole_text = F.sha2(F.coalesce("value", F.lit("")), 256)
-    own_id = F.when(F.col("reject_reason").isNull() & (F.col("origin") != PAYLOAD), identity.message_id())
+    whole_text = F.concat_ws("|", F.sha2(F.coalesce("value", F.lit("")), 256), "caller")
+    texts = [~checks.is_blank(F.col(c)) for c in identity.KEY_FIELDS if c != "time"]
+    whole_key = reduce(and_, texts, F.col("time").isNotNull())
+    own_id = F.when(F.col("reject_reason").isNull() & (F.col("origin") != PAYLOAD) & whole_key, identity.message_id())
     keyed = events.withColumns(
         {"_message_id": F.concat_ws("|", "origin", F.coalesce(own_id, whole_text)), "_taken": F.current_timestamp()}
     )
