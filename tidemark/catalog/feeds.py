@@ -179,8 +179,8 @@ def stream_outcomes(spark, d):
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
     for part in (0, 1):
         rows = sent.where(F.col("event_id") % 2 == part).select("value", headers.alias("headers"), "ingest_time")
-        rows.repartition(1).write.mode("append").parquet(source)
-        finished(jobs.ingest_query(read_event_stream(spark, source, 1), table, checkpoint, trigger=ONCE))
+        rows.write.mode("append").parquet(source)
+        finished(jobs.ingest_query(read_event_stream(spark, source), table, checkpoint, trigger=ONCE))
     return jobs.outcome_counts(table)
 
 

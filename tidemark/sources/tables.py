@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.session import spread
 
 
 def read_bundles(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -24,10 +25,12 @@ def read_event_stream(
     max_files_per_trigger: int = 1000,
     schema=schemas.WIRE_MESSAGES,
 ) -> DataFrame:
-    """Wire messages as a stream of files, bounded per trigger."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
-    )
+    """Wire messages as a stream of files, bounded per trigger.
+
+    One task reads a whole row group, which may be a whole file; what follows is heavy per
+    row, so rows are spread over all cores first."""
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    return spread(files.parquet(path))
 
 
 def read_topic_stream(
