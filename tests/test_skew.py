@@ -123,3 +123,26 @@ def test_unless(spark):
     commits = spark.createDataFrame([("b", 2), ("a", 0)], "pod string, n int")
     got = alerts.failing_unless_committing(failures, commits, "pod", "n")
     assert [(r.pod, r.failures) for r in got.collect()] == [("a", 3)]
+
+
+def test_backlog_growth_takes_one_step_a_sample(spark):
+    """Against a search over all samples, with ties, gaps, bounds met exactly and missing
+    counts; and no frame that moves over the samples, which costs the square of a chunk."""
+    rng, hours, span = random.Random(5), 2, 7_200_000_000
+    times = [rng.randrange(12) * 1_800_000_000 - rng.randrange(2) for _ in range(80)] + [40 * span, 40 * span + 1]
+    rows = [(f"t{i % 2}", us, None if i % 17 == 0 else rng.randrange(9)) for i, us in enumerate(times)]
+    samples = spark.createDataFrame(rows, "t string, us long, n long").withColumn("ts", F.timestamp_micros("us"))
+    grown = alerts.backlog_growing(samples, "t", "ts", "n", hours, threshold=4)
+    got = sorted(map(repr, grown.select("t", F.unix_micros("ts"), "current_files", "growth", "breached").collect()))
+
+    def line(t, us, n):
+        held = [(u, m is not None, m) for s, u, m in rows if s == t and us - span <= u <= us]
+        first = min(held, key=lambda h: (h[0], h[1], h[2] or 0))[2]
+        growth = None if n is None or first is None else n - first
+        high, more = None if n is None else n > 4, None if growth is None else growth > 0
+        both = False if high is False or more is False else None if high is None or more is None else True
+        return (t, us, n, growth, both)
+
+    want = sorted(map(repr, spark.createDataFrame([line(*r) for r in rows], "t string, `unix_micros(ts)` long, current_files long, growth long, breached boolean").collect()))
+    assert got == want
+    assert "RangeFrame" not in grown._jdf.queryExecution().executedPlan().toString()

@@ -21,16 +21,28 @@ def backlog_growing(
     """Per sample: its count, the growth over the rolling ``hours`` before it (against the
     oldest sample in them), and whether the count is above the floor and growing.
 
-    A window never spans more than two chunks of ``hours``: every sample is joined, through
-    copies in its own and the following chunk, to what lies within reach, and the window is
-    over (table, chunk), not over a table."""
+    A sample asks for the first sample at or after the start of its ``hours``. Questions are
+    put among the samples of the chunk in which they fall, last one first, so the nearest
+    later sample is the last one seen; behind the end of a chunk that is the first sample of
+    the next one. A frame that moves over samples would be read anew for every row."""
     span = hours * 3_600_000_000
-    micros = F.unix_micros(ts)
-    own = samples.select(F.col(table), F.col(ts), F.col(files), micros.alias("_us"), F.floor(micros / span).alias("_chunk"))
-    copies = own.withColumn("_at", F.explode(F.array(F.col("_chunk"), F.col("_chunk") + 1)))
-    recent = Window.partitionBy(table, "_at").orderBy("_us").rangeBetween(-span, Window.currentRow)
-    oldest = F.first(F.struct("_us", files)).over(recent)[files]
-    grown = copies.withColumn("growth", F.col(files) - oldest).where(F.col("_at") == F.col("_chunk"))
+    own = samples.select(F.col(table), F.col(ts), F.col(files), F.unix_micros(ts).alias("_us"))
+    held = F.struct(F.col(files).alias("v"))
+    chunk = lambda at: F.floor(at / span).alias("_chunk")
+    seen = own.select(table, chunk(F.col("_us")), F.col("_us").alias("_at"), held.alias("_held"))
+    ahead = (
+        seen.groupBy(table, "_chunk")
+        .agg(F.min(F.struct("_at", "_held")).alias("_first"))
+        .select(table, (F.col("_chunk") - 1).alias("_chunk"), "_first.*")
+    )
+    start = F.col("_us") - span
+    asked = own.select(table, chunk(start), start.alias("_at"), F.lit(None).cast(seen.schema["_held"].dataType).alias("_held"), ts, files)
+    every = asked.unionByName(seen.unionByName(ahead).withColumn("_sample", F.lit(True)), allowMissingColumns=True)
+    # Of samples at one instant the least counts.
+    order = [F.desc("_at"), F.desc_nulls_last("_sample"), F.desc("_held")]
+    later = Window.partitionBy(table, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    oldest = F.last("_held", ignorenulls=True).over(later)["v"]
+    grown = every.withColumn("growth", F.col(files) - oldest).where("_sample IS NULL")
     breached = (F.col(files) > threshold) & (F.col("growth") > 0)
     return grown.select(table, ts, F.col(files).alias("current_files"), "growth", breached.alias("breached"))
 
