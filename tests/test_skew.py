@@ -1,12 +1,13 @@
 """Ordered operators against brute force, with one group holding most rows."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import alerts, dedup, ordered
+from tidemark.operators import alerts, dedup, files, ordered
 from tidemark.operators.throttle import throttle_first
 
 T0 = datetime(2026, 6, 1)
@@ -146,3 +147,14 @@ def test_backlog_growth_takes_one_step_a_sample(spark):
     want = sorted(map(repr, spark.createDataFrame([line(*r) for r in rows], "t string, `unix_micros(ts)` long, current_files long, growth long, breached boolean").collect()))
     assert got == want
     assert "RangeFrame" not in grown._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deleted_rows_are_counted_in_words(spark):
+    """Repeated marks count once, also at the borders of words; nothing is grouped by row."""
+    rng = random.Random(8)
+    marks = [(f"f{i % 3}", rng.choice([0, 1, 62, 63, 64, 127, 128, 1 << 40, rng.randrange(500)])) for i in range(600)] + [("f1", None)] * 2
+    sizes = spark.createDataFrame([(f"f{i}", 150) for i in range(4)], "path string, rows long")
+    out = files.delete_fractions(sizes, spark.createDataFrame(marks, "path string, row_index long").repartition(3))
+    want = {f"f{i}": len({r for p, r in marks if p == f"f{i}"}) for i in range(3)}
+    assert {r.path: r.deleted_rows for r in out.collect()} == want
+    assert "row_index" not in " ".join(re.findall(r"keys=\[[^\]]*\]", out._jdf.queryExecution().executedPlan().toString()))
