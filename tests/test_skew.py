@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import alerts, dedup, files, ordered
 from tidemark.operators.throttle import throttle_first
+from tidemark.session import spread
 
 T0 = datetime(2026, 6, 1)
 
@@ -158,3 +159,8 @@ def test_deleted_rows_are_counted_in_words(spark):
     want = {f"f{i}": len({r for p, r in marks if p == f"f{i}"}) for i in range(3)}
     assert {r.path: r.deleted_rows for r in out.collect()} == want
     assert "row_index" not in " ".join(re.findall(r"keys=\[[^\]]*\]", out._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_spread_grows_with_the_rows(spark):
+    few, many = (spread(spark.range(n), 100).rdd.getNumPartitions() for n in (50, 1001))
+    assert (few, many) == (spark.sparkContext.defaultParallelism, 11)

@@ -25,6 +25,9 @@ SOURCE = "0xc0dec0dec0dec0dec0dec0dec0dec0dec0dec0de"
 DID = f"did:erc721:{CHAIN}:{CONTRACT}:"
 AS_OF = "2024-02-01 00:00:00"
 
+# Given rows become several rows or a long text each where ``spread`` is used.
+ROWS_OF_A_TASK = 100_000
+
 
 def load(spark: SparkSession, directory: str, name: str) -> DataFrame:
     configure(spark)
@@ -43,7 +46,7 @@ def adapt(
     names = sorted(set(re.findall(r"\{(\w+)\}", text)))
     tables = {n: load(spark, directory, n) for n in names}
     if heavy:
-        tables = {n: spread(t) for n, t in tables.items()}
+        tables = {n: spread(t, ROWS_OF_A_TASK) for n, t in tables.items()}
     iso = "date_format(\\1, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
     for name, table in tables.items():
         table.createOrReplaceTempView(f"adapter_{name}")

@@ -14,6 +14,7 @@ from tidemark.catalog.common import (
     KEY_SQL,
     RAW,
     RAW_DUP,
+    ROWS_OF_A_TASK,
     SOURCE,
     adapt,
     as_of,
@@ -220,7 +221,7 @@ faults AS (SELECT payload_id, arg_min(fault, header_index) AS fault FROM judged
 
 
 def _payloads(spark, d):
-    e = spread(load(spark, d, "events")).withColumn("ts", F.col("ts").cast("timestamp"))
+    e = spread(load(spark, d, "events"), ROWS_OF_A_TASK).withColumn("ts", F.col("ts").cast("timestamp"))
     eid = F.col("event_id")
 
     def header(i):

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.catalog.common import CHAIN, CONTRACT, DID, SOURCE, load
+from tidemark.catalog.common import CHAIN, CONTRACT, DID, ROWS_OF_A_TASK, SOURCE, load
 
 from tidemark.operators import decode
 from tidemark.session import spread
@@ -32,7 +32,7 @@ FOREIGN = "did:erc721:137:0x00000000000000000000000000000000000000aa:"
 
 def status_events(spark, d):
     """Raw status rows with JSON payloads derived from the given events."""
-    e = spread(load(spark, d, "events"))
+    e = spread(load(spark, d, "events"), ROWS_OF_A_TASK)
     eid, base = F.col("event_id"), F.unix_micros(F.col("ts").cast("timestamp"))
 
     def element(k):

@@ -63,9 +63,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, for work that is heavy per row on inputs of few splits."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Rows over all cores, for work that is heavy per row on inputs of few splits. With
+    ``rows`` a task gets about so many at most, so that what one task sorts or holds does not
+    grow with the input; they are counted first, which a file's footer answers."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        tasks = max(tasks, -(-df.count() // rows))
+    return df.repartition(tasks)
 
 
 def settle(df: DataFrame) -> DataFrame:
