@@ -148,9 +148,10 @@ def stream_ingest_bundles(spark, d):
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
     bounds = Bounds(rows=500, bytes=1 << 20, soft_bytes=1 << 40, hard_seconds=3600)
     late = F.col("event_id") % 5 == 4
+    files = spark.sparkContext.defaultParallelism
     for part, at_once in ((~late, False), (late, True)):
-        messages.where(part).select("value", "headers", "ingest_time").repartition(2).write.mode("append").parquet(source)
-        stream = read_event_stream(spark, source, 1)
+        messages.where(part).select("value", "headers", "ingest_time").repartition(2 * files).write.mode("append").parquet(source)
+        stream = read_event_stream(spark, source, files)
         finished(jobs.ingest_query(stream, table, checkpoint, trigger=ONCE, bounds=bounds))
         if table.last_snapshot() != (1 if at_once else 0):
             raise RuntimeError("a bundle was written too early")
