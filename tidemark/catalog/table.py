@@ -170,9 +170,10 @@ def stream_ingest(spark, d):
     source = scratch_path(spark, "messages")
     sent = messages.unionByName(again).select("value", headers.alias("headers"), "ingest_time")
     # Newest first: every later file is far behind the arrival times already seen.
-    sent.repartitionByRange(4, F.desc("ingest_time")).write.parquet(source)
+    files = spark.sparkContext.defaultParallelism
+    sent.repartitionByRange(2 * files, F.desc("ingest_time")).write.parquet(source)
     table = new_table(spark)
-    stream = read_event_stream(spark, source, 2)
+    stream = read_event_stream(spark, source, files)
     query = jobs.ingest_query(stream, table, scratch_path(spark, "checkpoint"), trigger={"availableNow": True})
     query.awaitTermination()
     return dedup_latest(table.read()).select("id", millis("time"), "data")
