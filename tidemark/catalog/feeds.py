@@ -210,11 +210,12 @@ def stream_ingest_replayed(spark, d):
     messages = adapt(spark, d, MESSAGES, ("ingest_time",))
     headers = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
-    messages.select("value", headers.alias("headers"), "ingest_time").repartition(2).write.parquet(source)
-    finished(jobs.ingest_query(read_event_stream(spark, source, 1), table, checkpoint, trigger=ONCE))
+    files = spark.sparkContext.defaultParallelism
+    messages.select("value", headers.alias("headers"), "ingest_time").repartition(2 * files).write.parquet(source)
+    finished(jobs.ingest_query(read_event_stream(spark, source, files), table, checkpoint, trigger=ONCE))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-    finished(jobs.ingest_query(read_event_stream(spark, source, 1), table, checkpoint, trigger=ONCE))
+    finished(jobs.ingest_query(read_event_stream(spark, source, files), table, checkpoint, trigger=ONCE))
     rows = table.read()
     if rows.count() != dedup_latest(rows).count():
         raise RuntimeError("a replayed batch was written twice")
