@@ -283,6 +283,39 @@ def test_the_seventh_byte_of_a_context_counts(spark):
     assert scores / 300 > -0.45  # one free choice of two is 0.30; without the byte there are two
 
 
+def test_rare_contexts_leave_before_the_shuffle(spark, monkeypatch):
+    """Grams behind a frequent context of five bytes, most of them in rare longer ones."""
+    rnd = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvyx0123456789"[:30]
+    unit = lambda: "{}{}wwwww{}zzzzzzzz".format(*(rnd.choice(letters) for _ in range(3)))
+    texts = ["".join(unit() for _ in range(1000)) for _ in range(30)]
+    tables = {}
+
+    def noted(df, label, written=language_model.written):
+        out = written(df, label)
+        tables.setdefault(label, []).append([tuple(r) for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(language_model, "written", noted)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    language_model.score_texts(df, df.doc_id >= 0, frequent=0.003)
+
+    end, counts, totals = bytes([language_model.END]), Counter(), Counter()
+    for text in texts:
+        data = end * language_model.DEPTH + text.encode() + end
+        for at in range(language_model.DEPTH, len(data)):
+            for length in range(language_model.DEPTH + 1):
+                context = int.from_bytes(data[at - length : at], "big")
+                counts[length, context, data[at]] += 1
+                totals[length, context] += 1
+    least = 0.003 * totals[0, 0]
+    want = {(*k, n, totals[k[:2]]) for k, n in counts.items() if totals[k[:2]] >= least}
+    assert {r[0] for r in want} == set(range(language_model.DEPTH + 1))
+    assert sorted(r for t in tables["contexts"] for r in t) == sorted(want)
+    behind = len({k for k in counts if k[0] == language_model.DEPTH and k[1] & 0xFFFFFFFFFF == int.from_bytes(b"wwwww", "big")})
+    assert max(len(t) for of in tables.values() for t in of) < behind / 1.5
+
+
 def test_model_beats_word_counts_on_larger_tables(spark):
     scores = language_model.op4_language_model(spark, "/root/testdata/sf0.01")
     held = scores.where("held_out").selectExpr("sum(score) / sum(n_tokens) as own", "count(*) as n").first()

@@ -1,8 +1,10 @@
 """Text scores by a probabilistic suffix tree over bytes, and by word counts.
 
 Training counts every byte with the up to seven bytes before it, over all training texts, in
-three passes of growing length: a longer context is counted only where the shorter one that
-it ends in is frequent, so rare ones leave before they are shuffled. A context is kept if it is frequent enough and its next-byte distribution differs from that
+two passes. The first counts contexts of up to three bytes, and how often longer ones fall
+into each of ``BUCKETS`` buckets. A context cannot be frequent if all of its bucket together is
+not: the second pass leaves such contexts out before they are shuffled, and no frequent one. A
+context is kept if it is frequent enough and its next-byte distribution differs from that
 of the next shorter context by a divergence test; distributions are smoothed with those of
 shorter contexts. For scoring the tree becomes an automaton whose state is the longest kept
 suffix of what was read, so a text costs one table look-up a byte.
@@ -31,11 +33,18 @@ DEPTH = 7  # longest context in bytes: eight bytes make one number
 FREQUENT = 1e-5
 COMMON = 2e-6
 END = 10  # the byte that ends a text and, repeated, stands before it; no word holds it
-# Shortest and longest contexts that one pass over the texts counts.
-PASSES = ((0, 3), (4, 5), (6, DEPTH))
+SHORT = 3  # contexts up to this length are all counted, longer ones if their bucket is frequent
+# Buckets of each length. They get a share of 2e-6 on average, so that few without a frequent
+# context reach ``FREQUENT``; a block of them is a row of the exchange.
+BUCKET_BITS = 19
+BUCKETS, BLOCK = 1 << BUCKET_BITS, 1 << 10
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 LANES = 2048
 FLUSH = 1_000_000
-WORD, GRAM, TEXTS = 0, 1, 2
+PLACES = 1 << 20  # bytes of texts counted at once; of a longer text twice as many
+ROWS = 1 << 16  # handed to Spark at once
+WORD, GRAM, TEXTS, BUCKET = 0, 1, 2, 3
+BUCKETED = range(SHORT + 2, DEPTH + 1)  # contexts a byte shorter are counted grams
 
 
 def plain_bytes(text: str | None) -> bytes:
@@ -54,18 +63,36 @@ def stream(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, begins, wanted
 
 
-def grams(data: np.ndarray, size: int = DEPTH + 1) -> np.ndarray:
-    """Every byte from place ``DEPTH`` on with the bytes before it, ``size`` together, as a
+def grams(data: np.ndarray) -> np.ndarray:
+    """Every byte from place ``DEPTH`` on with the ``DEPTH`` bytes before it, together as a
     number whose lowest byte is the last."""
-    n, first = len(data) - DEPTH, DEPTH - size + 1
-    out = data[first : first + n].astype(np.int64)
-    for i in range(first + 1, DEPTH + 1):
-        out = out << 8 | data[i : i + n]
-    return out
+    return np.ndarray(len(data) - DEPTH, ">i8", np.ascontiguousarray(data), 0, (1,)).astype(np.int64)
+
+
+def all_grams(texts: list[bytes]):
+    """The grams of all bytes of the texts, of some ``PLACES`` bytes at once."""
+    data, _, wanted = stream(texts)
+    for first in range(0, len(data) - DEPTH, 2 * PLACES):
+        last = first + 2 * PLACES + DEPTH
+        yield grams(data[first:last])[wanted[first + DEPTH : last]]
+
+
+def buckets(found: np.ndarray, length: int) -> np.ndarray:
+    """The bucket of the context of this length in every gram."""
+    context = found.view(np.uint64) >> np.uint64(8)
+    context <<= np.uint64(8 * (8 - length))
+    context *= _SPREAD
+    context >>= np.uint64(64 - BUCKET_BITS)
+    return context.view(np.int64)
+
+
+def lowest(found: np.ndarray, size: int) -> np.ndarray:
+    """The last ``size`` bytes of every gram."""
+    return found if size > DEPTH else found & np.int64((1 << 8 * size) - 1)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable")  # they are few ordered runs
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
@@ -76,72 +103,129 @@ class Tally:
 
     def __init__(self):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.held = 0
+        self.merged = self.new = 0
 
     def add(self, keys: np.ndarray) -> None:
         self.parts.append(np.unique(keys, return_counts=True))
-        self.held += len(self.parts[-1][0])
-        if self.held > FLUSH:
+        self.new += len(self.parts[-1][0])
+        if self.new > FLUSH // 2:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         both = _summed(*(np.concatenate(c) for c in zip(*self.parts))) if self.parts else (np.empty(0, np.int64),) * 2
-        self.parts, self.held = [both], len(both[0])
+        self.parts, self.merged, self.new = [both], len(both[0]), 0
         return both
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         both = self.merge()
-        self.parts, self.held = [], 0
+        self.parts, self.merged = [], 0
         return both
 
 
-def corpus_counts(training: DataFrame, text_col: str, size: int, frequent: np.ndarray | None = None, length: int = 0, with_words: bool = False) -> DataFrame:
-    """``kind``, ``item``, ``n``: counts of grams of ``size`` bytes over all training texts,
-    and on wish of word hashes and texts. With ``frequent``, only grams count whose byte
-    stands behind one of these contexts of ``length`` bytes. Every task sums its own first."""
-    schema = "kind int, item long, n long"
+def _handed_on(tallies: dict[int, Tally], target: pa.Schema, least: int = -1):
+    """Rows of ``kind``, ``item``, ``n`` of the tallies that hold more than ``least``, which
+    start anew."""
+    for kind, tally in tallies.items():
+        if tally.merged <= least:
+            continue
+        keys, counts = tally.take()
+        for first in range(0, len(keys), ROWS):
+            own = slice(first, first + ROWS)
+            columns = [np.full(len(keys[own]), kind, np.int32), keys[own].astype(np.int64), counts[own].astype(np.int64)]
+            columns += [pa.nulls(len(columns[0]), f.type) for f in list(target)[3:]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], schema=target)
+
+
+def corpus_counts(training: DataFrame, text_col: str) -> DataFrame:
+    """``kind``, ``item``, ``n``, ``counters`` of every task: counts of contexts of ``SHORT``
+    bytes with the next byte, of word hashes and of texts; and for each length of ``BUCKETED``
+    the buckets of all contexts, a block of them in ``counters``."""
+    schema = "kind int, item long, n long, counters binary"
     target = arrow_schema(schema, training.sparkSession)
-    shared = training.sparkSession.sparkContext.broadcast(frequent)
-    context = np.int64((1 << 8 * length) - 1)
 
     def run(batches):
         tallies, texts = {WORD: Tally(), GRAM: Tally()}, 0
-        alive = shared.value
-
-        def rows(kind, keys, counts):
-            columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts.astype(np.int64))]
-            return pa.RecordBatch.from_arrays(columns, schema=target)
-
+        filled = np.zeros((len(BUCKETED), BUCKETS), np.int64)
         for batch in batches:
             raw = [plain_bytes(t) for t in batch.column(0).to_pylist()]
             texts += len(raw)
-            for first, last in chunks_of_bytes(raw):
+            for first, last in chunks_of_bytes(raw, PLACES):
                 own = raw[first:last]
-                data, _, wanted = stream(own)
-                found = grams(data, size)[wanted[DEPTH:]]
-                if alive is not None:
-                    before = found >> 8 & context
-                    at = np.minimum(np.searchsorted(alive, before), max(0, len(alive) - 1))
-                    found = found[alive[at] == before] if len(alive) else found[:0]
-                tallies[GRAM].add(found)
-                if with_words:
-                    tallies[WORD].add(word_hashes(own)[0].view(np.int64))
-            for kind, tally in tallies.items():
-                if tally.held > FLUSH:  # still, after merging: hand on and start anew
-                    yield rows(kind, *tally.take())
-        for kind, tally in tallies.items():
-            yield rows(kind, *tally.take())
-        if with_words:
-            yield rows(TEXTS, np.zeros(1, np.int64), np.array([texts]))
-
-    partial = training.select(text_col).mapInArrow(run, schema)
-    return written(partial.groupBy("kind", "item").agg(F.sum("n").alias("n")), "counts")
-
-
-def frequent_contexts(gram: DataFrame, low: int, high: int, least: float) -> DataFrame:
-    """``length``, ``context``, ``symbol``, ``n``, ``total`` of the contexts of ``low`` to
-    ``high`` bytes that were seen at least so often."""
-    length = F.explode(F.array(*map(F.lit, range(low, high + 1)))).alias("length")
+                for found in all_grams(own):
+                    tallies[GRAM].add(lowest(found, SHORT + 1).astype(np.uint32))
+                    for sums, length in zip(filled, BUCKETED):
+                        sums += np.bincount(buckets(found, length), minlength=BUCKETS)
+                tallies[WORD].add(word_hashes(own)[0].view(np.int64))
+            yield from _handed_on(tallies, target, FLUSH)  # still, after merging
+        yield from _handed_on(tallies, target)
+        blocks = filled.reshape(-1, BLOCK)
+        for first in range(0, len(blocks), 256):
+            items = first + np.flatnonzero(blocks[first : first + 256].any(axis=1))
+            packed = [b.astype(np.min_scalar_type(b.max())).tobytes() for b in blocks[items]]
+            columns = [np.full(len(items), BUCKET, np.int32), items, np.zeros(len(items), np.int64), packed]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target)], schema=target)
+        yield pa.RecordBatch.from_pylist([{"kind": TEXTS, "item": 0, "n": texts}], schema=target)
+
+    return written(training.select(text_col).mapInArrow(run, schema), "partial")
+
+
+def frequent_buckets(partial: DataFrame, counts: DataFrame, least: float) -> np.ndarray:
+    """For each length above ``SHORT`` the buckets that hold what was seen at least so often
+    by all tasks together: ``BUCKETS`` bits a length, whatever the corpus."""
+    schema = "item long, bits binary"
+    target = arrow_schema(schema, partial.sparkSession)
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for item, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                own = np.frombuffer(raw, f"u{len(raw) // BLOCK}").astype(np.int64)
+                sums[item] = sums[item] + own if item in sums else own
+        bits = [np.packbits(s >= least).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(bits, pa.binary())], schema=target)
+
+    blocks = partial.where(F.col("kind") == BUCKET).select("item", "counters").repartition("item")
+    found = blocks.mapInArrow(run, schema).toArrow()
+    out = np.zeros((len(BUCKETED) * BUCKETS // BLOCK, BLOCK), bool)
+    for item, raw in zip(*(c.to_pylist() for c in found.columns)):
+        out[item] = np.unpackbits(np.frombuffer(raw, np.uint8))
+    # What stands before a byte was itself counted as a gram, but before a text's first byte.
+    often = counts.where((F.col("kind") == GRAM) & (F.col("n") >= least)).select("item").toArrow()["item"].to_numpy()
+    before = np.append(often, int.from_bytes(bytes([END]) * (SHORT + 1), "big"))
+    shortest = np.zeros(BUCKETS, bool)
+    shortest[buckets(before << 8, SHORT + 1)] = True
+    return np.concatenate([shortest[None], out.reshape(len(BUCKETED), BUCKETS)])
+
+
+def longer_counts(training: DataFrame, text_col: str, alive: np.ndarray) -> DataFrame:
+    """``kind``, ``item``, ``n``: every byte with its longest context that lies, as all shorter
+    ones do, in a frequent bucket; ``kind`` is the length. Every task sums its own first."""
+    schema = "kind int, item long, n long"
+    target = arrow_schema(schema, training.sparkSession)
+    shared = training.sparkSession.sparkContext.broadcast(alive)
+
+    def run(batches):
+        tallies = {length: Tally() for length in range(SHORT + 1, DEPTH + 1)}
+        for batch in batches:
+            raw = [plain_bytes(t) for t in batch.column(0).to_pylist()]
+            for first, last in chunks_of_bytes(raw, PLACES):
+                for found in all_grams(raw[first:last]):
+                    for length in tallies:
+                        stays = shared.value[length - SHORT - 1][buckets(found, length)]
+                        if length > SHORT + 1:
+                            tallies[length - 1].add(lowest(found[~stays], length))
+                        found = found[stays]
+                    tallies[DEPTH].add(found)
+            yield from _handed_on(tallies, target, FLUSH)
+        yield from _handed_on(tallies, target)
+
+    return training.select(text_col).mapInArrow(run, schema).groupBy("kind", "item").agg(F.sum("n").alias("n"))
+
+
+def frequent_contexts(gram: DataFrame, least: float) -> DataFrame:
+    """``length``, ``context``, ``symbol``, ``n``, ``total`` of the contexts that were seen at
+    least so often; ``gram`` stands for contexts of ``low`` to ``high`` bytes."""
+    length = F.explode(F.sequence("low", "high")).alias("length")
     mask = F.expr("shiftleft(1L, 8 * length) - 1")
     ends = (
         gram.select("item", "n", length)
@@ -149,6 +233,7 @@ def frequent_contexts(gram: DataFrame, low: int, high: int, least: float) -> Dat
         .groupBy("length", "context", "symbol")
         .agg(F.sum("n").alias("n"))
     )
+    ends = written(ends, "ends")
     totals = ends.groupBy("length", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= least)
     return written(ends.join(totals, ["length", "context"]), "contexts")
 
@@ -156,20 +241,20 @@ def frequent_contexts(gram: DataFrame, low: int, high: int, least: float) -> Dat
 Contexts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def kept_contexts(training: DataFrame, text_col: str, counts: DataFrame, frequent: float = FREQUENT) -> Contexts:
+def kept_contexts(training: DataFrame, text_col: str, partial: DataFrame, counts: DataFrame, frequent: float = FREQUENT) -> Contexts:
     """Arrays of length, context, symbol and n of the contexts that stay, and all shorter
     ones they end in, in order of length and context. Their number is bounded by the share a
-    context needs. ``counts`` are those of the first pass."""
-    total = counts.where(F.col("kind") == GRAM).agg(F.sum("n")).first()[0]
+    context needs. ``partial`` and ``counts`` are those of the first pass."""
+    short = counts.where(F.col("kind") == GRAM)
+    total = short.agg(F.sum("n")).first()[0]
     if not total:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
-    often = None
-    for low, high in PASSES:
-        if often is not None:
-            known = often.where(F.col("length") == low - 1).select("context").distinct().toArrow()["context"]
-            counts = corpus_counts(training, text_col, high + 1, np.sort(known.to_numpy()), low - 1)
-        found = frequent_contexts(counts.where(F.col("kind") == GRAM), low, high, frequent * total)
-        often = found if often is None else often.unionByName(found)
+    alive = frequent_buckets(partial, counts, frequent * total)
+    longer = longer_counts(training, text_col, alive)
+    gram = short.select("item", "n", F.lit(0).alias("low"), F.lit(SHORT).alias("high")).unionByName(
+        longer.select("item", "n", F.lit(SHORT + 1).alias("low"), F.col("kind").alias("high"))
+    )
+    often = frequent_contexts(gram, frequent * total)
     shorter = F.expr("context & (shiftleft(1L, 8 * greatest(length - 1, 0)) - 1)")
     parent = often.select(
         (F.col("length") + 1).alias("length"), F.col("context").alias("shorter"), "symbol", (F.col("n") / F.col("total")).alias("share")
@@ -295,7 +380,11 @@ def score_texts(docs: DataFrame, learn: Column, frequent: float = FREQUENT, comm
     """
     spark = docs.sparkSession
     training = docs.where(learn)
-    counts = corpus_counts(training, text_col, PASSES[0][1] + 1, with_words=True)
+    with scratch(spark) as keep:
+        partial = corpus_counts(training, text_col)
+        plain = partial.where(F.col("kind") != BUCKET)
+        counts = keep(written(plain.groupBy("kind", "item").agg(F.sum("n").alias("n")), "counts"))
+        tree = kept_contexts(training, text_col, partial, counts, frequent)
     words = counts.where(F.col("kind") == WORD)
     known, tokens = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = counts.where(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -303,8 +392,6 @@ def score_texts(docs: DataFrame, learn: Column, frequent: float = FREQUENT, comm
     different = known + (texts > 0)
     denominator = math.log10(tokens + different + 1)
     often = words.where(F.col("n") >= common * tokens).select("item", "n").orderBy("item").toArrow()
-    with scratch(spark):
-        tree = kept_contexts(training, text_col, counts, frequent)
     shared = spark.sparkContext.broadcast((often["item"].to_numpy(), often["n"].to_numpy(), tree))
     key = uuid.uuid4().hex
     end_log = math.log10(texts + 1)
