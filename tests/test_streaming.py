@@ -153,3 +153,21 @@ def test_one_file_of_messages_is_work_for_all_cores(spark, tmp_path):
     count = lambda batch, _: tasks.append(batch.select("task").distinct().count())
     run(rows.writeStream.foreachBatch(count).option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
     assert tasks[0] == spark.sparkContext.defaultParallelism
+
+
+def test_arrivals_are_kept_on_disk_and_the_session_keeps_its_settings(spark, tmp_path):
+    drop_file(spark, str(tmp_path / "in"), [body(i) for i in range(5)])
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    ingest(spark, tmp_path, RawEventTable(spark, str(tmp_path / "lake")))
+    assert spark.conf.get(store) == before
+    assert "RocksDBStateStoreProvider" in (tmp_path / "cp" / "offsets" / "0").read_text()
+
+
+def test_a_trigger_takes_files_up_to_its_bytes(spark, tmp_path):
+    for i in range(3):
+        drop_file(spark, str(tmp_path / "in"), [body(10 * i + j) for j in range(5)])
+    sizes = []
+    rows = read_event_stream(spark, str(tmp_path / "in"), max_bytes_per_trigger=1)
+    run(rows.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count())).option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
+    assert sizes == [5, 5, 5]

@@ -12,7 +12,7 @@ from tidemark.catalog.common import CHAIN, CONTRACT, RAW, adapt, load, millis, o
 from tidemark.catalog.events import ORACLES as EVENT_ORACLES
 from tidemark.catalog.signals import ORACLES as SIGNAL_ORACLES
 from tidemark.catalog.signals import signal_rows, status_events
-from tidemark.catalog.table import _SENT, MESSAGES, ORACLES as TABLE_ORACLES, SOURCE, complete, new_table
+from tidemark.catalog.table import _SENT, MESSAGES, ROWS_OF_A_FILE, ORACLES as TABLE_ORACLES, SOURCE, complete, new_table
 from tidemark.functions import identity
 from tidemark.operators import decode, ordered
 from tidemark.operators.dedup import dedup_latest
@@ -180,7 +180,7 @@ def stream_outcomes(spark, d):
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
     for part in (0, 1):
         rows = sent.where(F.col("event_id") % 2 == part).select("value", headers.alias("headers"), "ingest_time")
-        rows.write.mode("append").parquet(source)
+        rows.write.option("maxRecordsPerFile", ROWS_OF_A_FILE).mode("append").parquet(source)
         finished(jobs.ingest_query(read_event_stream(spark, source), table, checkpoint, trigger=ONCE))
     return jobs.outcome_counts(table)
 

@@ -24,6 +24,10 @@ ORACLES: dict = {}
 R = f"raw AS ({oracle(RAW)})"
 AT = datetime(2024, 2, 1)
 
+# Messages of a file at most. A micro-batch takes a number of files, so what it holds at once
+# does not grow with the given tables.
+ROWS_OF_A_FILE = 250_000
+
 
 def query(name: str, sql: str | None = None):
     def add(fn):

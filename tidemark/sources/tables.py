@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.session import spread
+
+# What a micro-batch takes at most: some million messages, which compress well.
+BYTES_OF_A_TRIGGER = 128 << 20
 
 
 def read_bundles(spark: SparkSession, files: list[str]) -> DataFrame:
@@ -22,15 +24,20 @@ def read_bundles(spark: SparkSession, files: list[str]) -> DataFrame:
 def read_event_stream(
     spark: SparkSession,
     path: str,
-    max_files_per_trigger: int = 1000,
+    max_files_per_trigger: int | None = None,
     schema=schemas.WIRE_MESSAGES,
+    max_bytes_per_trigger: int = BYTES_OF_A_TRIGGER,
 ) -> DataFrame:
-    """Wire messages as a stream of files, bounded per trigger.
+    """Wire messages as a stream of files, bounded per trigger by their number where one is
+    given, else by their bytes.
 
     One task reads a whole row group, which may be a whole file; what follows is heavy per
-    row, so rows are spread over all cores first."""
-    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-    return spread(files.parquet(path))
+    row, so rows are spread over all cores first, by the place they lie at: rows that are
+    dealt out in turn would be sorted before."""
+    bound = ("maxBytesPerTrigger", max_bytes_per_trigger) if max_files_per_trigger is None else ("maxFilesPerTrigger", max_files_per_trigger)
+    rows = spark.readStream.schema(schema).option(*bound).parquet(path)
+    placed = rows.select("*", F.col("_metadata.row_index").alias("_place"))
+    return placed.repartition(spark.sparkContext.defaultParallelism, "_place").drop("_place")
 
 
 def read_topic_stream(

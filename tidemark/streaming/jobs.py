@@ -17,7 +17,7 @@ from tidemark.operators.attest import normalize_attestations
 from tidemark.operators.dedup import keep_latest
 from tidemark.plans.lake import RawEventTable, append_decoded, quarantine
 from tidemark.sources.envelopes import parse_envelopes, split_rejects
-from tidemark.streaming.batches import start_named
+from tidemark.streaming.batches import start_named, state_on_disk
 from tidemark.streaming.bundles import Bounds, Bundles, FlushWhenIdle
 from tidemark.streaming.consume import consume
 
@@ -140,7 +140,9 @@ def ingest_query(
             events.unpersist()
             batch.unpersist()
 
-    return start_named(arrivals, write, checkpoint, query, trigger)
+    # The keys of the arrival window grow with the rate of messages.
+    with state_on_disk(table.spark):
+        return start_named(arrivals, write, checkpoint, query, trigger)
 
 
 def _now() -> datetime:
