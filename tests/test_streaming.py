@@ -171,3 +171,14 @@ def test_a_trigger_takes_files_up_to_its_bytes(spark, tmp_path):
     rows = read_event_stream(spark, str(tmp_path / "in"), max_bytes_per_trigger=1)
     run(rows.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count())).option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start())
     assert sizes == [5, 5, 5]
+
+
+def test_one_payload_of_two_callers_is_judged_by_its_caller(spark):
+    """A caller without an address is set aside; the same text of another caller is an event,
+    and neither is both."""
+    header = {"id": "1", "type": fv.TYPE_STATUS, "subject": f"{DID}2", "producer": f"{DID}9", "time": "2020-01-01T00:00:00Z"}
+    text = json.dumps({"headers": [header, {**header, "id": "2"}], "data": {"k": 1.5}})
+    sent = [(text, {"origin": "payload", "caller": caller}, T0) for caller in (SOURCE, "nobody")]
+    rows = jobs.normalized(jobs.parsed(spark.createDataFrame(sent, schemas.WIRE_MESSAGES)))
+    got = sorted((r.caller or "", r.id or "", r.reject_reason or "", r.value == text, r.data) for r in rows.collect())
+    assert got == [("", "1", "", False, '{"k":1.5}'), ("", "2", "", False, '{"k":1.5}'), ("nobody", "", "invalid_source", True, '{"k":1.5}')]

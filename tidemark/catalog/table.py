@@ -175,7 +175,7 @@ def stream_ingest(spark, d):
     sent = messages.unionByName(again).select("value", headers.alias("headers"), "ingest_time")
     # Newest first: every later file is far behind the arrival times already seen.
     files = spark.sparkContext.defaultParallelism
-    sent.repartitionByRange(2 * files, F.desc("ingest_time")).write.parquet(source)
+    sent.repartitionByRange(2 * files, F.desc("ingest_time")).write.option("maxRecordsPerFile", ROWS_OF_A_FILE).parquet(source)
     table = new_table(spark)
     stream = read_event_stream(spark, source, files)
     query = jobs.ingest_query(stream, table, scratch_path(spark, "checkpoint"), trigger={"availableNow": True})
@@ -215,7 +215,8 @@ def stream_ingest_origins(spark, d):
     pairs = {"origin": F.col("origin"), "caller": F.lit(SOURCE), "signature-valid": F.lit("true")}
     headers = F.map_from_arrays(F.array(*map(F.lit, pairs)), F.array(*pairs.values()))
     source = scratch_path(spark, "messages")
-    sent.select("value", headers.alias("headers"), "ingest_time").write.parquet(source)
+    # A trigger takes up to a hundred files.
+    sent.select("value", headers.alias("headers"), "ingest_time").write.option("maxRecordsPerFile", ROWS_OF_A_FILE // 10).parquet(source)
     table = new_table(spark)
     stream = read_event_stream(spark, source, 100)
     query = jobs.ingest_query(stream, table, scratch_path(spark, "checkpoint"), trigger={"availableNow": True})

@@ -117,13 +117,13 @@ def message_text(events: DataFrame) -> Column:
     return F.to_json(F.struct(*parsed))
 
 
-def fan_out(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One payload row to one event per header: (events, rejected payloads).
+def judged(payloads: DataFrame) -> DataFrame:
+    """Payloads with complete headers and the reason of their first bad one; a reason that
+    is there already goes first.
 
-    Input: ``payload_id, source, headers array<header>, data, body, ingest_time``.
-    Every header is checked inside the array before it is exploded, so one bad
-    header rejects the whole payload without grouping rows again.
-    """
+    Input: ``payload_id, source, headers array<header>, data, body, ingest_time``. Every
+    header is checked inside the array, so one bad header rejects the whole payload without
+    grouping rows again."""
     no_base64 = F.lit(False)
     shared_id = default_id(F.col("payload_id"))
 
@@ -135,22 +135,30 @@ def fan_out(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
         return connection_fault({n: h[n] for n in HEADER_NAMES}, no_base64)
 
     filled = payloads.withColumn("headers", F.transform("headers", complete))
-    checked = filled.withColumn(
-        "reject_reason",
-        F.when(F.coalesce(F.size("headers"), F.lit(0)) <= 0, F.lit("no_headers")).otherwise(
-            F.get(F.filter(F.transform("headers", fault), lambda r: r.isNotNull()), F.lit(0))
-        ),
+    found = F.when(F.coalesce(F.size("headers"), F.lit(0)) <= 0, F.lit("no_headers")).otherwise(
+        F.get(F.filter(F.transform("headers", fault), lambda r: r.isNotNull()), F.lit(0))
     )
-    rejected = checked.where("reject_reason IS NOT NULL")
+    earlier = [F.col("reject_reason")] if "reject_reason" in payloads.columns else []
+    return filled.withColumn("reject_reason", F.coalesce(*earlier, found))
+
+
+def exploded(judged: DataFrame, *kept: str) -> DataFrame:
+    """One event per header of judged payloads; what is rejected is one row without a header."""
+    own = F.when(F.col("reject_reason").isNull(), F.col("headers"))
     events = (
-        checked.where("reject_reason IS NULL")
-        .withColumn("data", _filled(F.col("data"), F.col("body")))
+        judged.withColumns({"data": _filled(F.col("data"), F.col("body")), "headers": own})
         .drop("source")
-        .select("payload_id", "data", "ingest_time", F.posexplode_outer("headers").alias("header_index", "_h"))
-        .select("payload_id", "header_index", "data", "ingest_time", "_h.*")
+        .select("payload_id", "data", "ingest_time", *kept, F.posexplode_outer("headers").alias("header_index", "_h"))
+        .select("payload_id", "header_index", "data", "ingest_time", "_h.*", *kept)
         .withColumn("is_future", checks.is_future(F.col("time"), F.col("ingest_time")))
     )
-    return canonical_columns(events), rejected
+    return canonical_columns(events)
+
+
+def fan_out(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One payload row to one event per header: (events, rejected payloads)."""
+    checked = judged(payloads)
+    return exploded(checked.where("reject_reason IS NULL")), checked.where("reject_reason IS NOT NULL")
 
 
 def validate_connection(events: DataFrame, canonical: bool = True) -> DataFrame:

@@ -70,18 +70,21 @@ def normalized(events: DataFrame) -> DataFrame:
     connection = normalize.validate_connection(events.where(F.col("origin").isNull() | ~F.col("origin").isin(ATTESTATION, PAYLOAD)))
     attested = normalize_attestations(events.where(F.col("origin") == ATTESTATION))
     array = F.from_json("value", f"headers array<{normalize.HEADER}>")["headers"]
-    payloads_in = events.where(F.col("origin") == PAYLOAD).withColumns(
-        {"payload_id": F.sha2("value", 256), "source": F.col("caller"), "body": F.col("value"), "message_headers": F.col("headers")}
-    )
-    sound = payloads_in.where("reject_reason IS NULL").withColumn("headers", array)
-    fanned, rejected = normalize.fan_out(sound.select("payload_id", "source", "headers", "data", "body", "ingest_time"))
-    # A rejected payload is set aside as it came.
-    whole = payloads_in.drop("reject_reason").join(rejected.select("payload_id", "reject_reason").distinct(), "payload_id")
-    broken = payloads_in.where("reject_reason IS NOT NULL")
-    back = whole.unionByName(broken).select(*events.columns)
+    payloads_in = events.where(F.col("origin") == PAYLOAD).withColumn("source", F.col("caller"))
+    # A payload takes itself along, so that a rejected one is set aside as it came, and all of
+    # them are read and judged once.
+    sent = F.struct(*events.columns).alias("_sent")
+    own = [F.sha2("value", 256).alias("payload_id"), array.alias("headers"), F.col("value").alias("body"), sent]
+    judged = normalize.judged(payloads_in.select("source", "data", "ingest_time", "reject_reason", *own))
+    fanned = normalize.exploded(judged, "reject_reason", "_sent").withColumn("origin", F.lit(PAYLOAD))
+    aside = F.col("reject_reason").isNotNull()
+    made = [c for c in fanned.columns if c not in ("reject_reason", "_sent")]
+    back = [c for c in events.columns if c != "reject_reason"]
+    either = {c: F.when(aside, F.col(f"_sent.{c}")) if c in back else F.when(~aside, F.col(c)) for c in dict.fromkeys(made + back)}
+    either |= {c: F.when(aside, F.col(f"_sent.{c}")).otherwise(F.col(c)) for c in made if c in back}
+    fanned = fanned.select(*[v.alias(c) for c, v in either.items()], "reject_reason")
     every = connection.unionByName(attested, allowMissingColumns=True)
-    fanned = fanned.withColumn("origin", F.lit(PAYLOAD))
-    every = every.unionByName(fanned, allowMissingColumns=True).unionByName(back, allowMissingColumns=True)
+    every = every.unionByName(fanned, allowMissingColumns=True)
     gate = F.coalesce("reject_reason", normalize.fingerprint_gate(), normalize.poison_fault())
     return every.withColumn("reject_reason", gate)
 
