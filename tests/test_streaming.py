@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark import schemas
+from tidemark.functions import identity
 from tidemark.operators import payloads
 from tidemark.plans.lake import RawEventTable
+from tidemark.sources import envelopes
 from tidemark.sources.tables import read_event_stream
 from tidemark.streaming import jobs
 
@@ -182,3 +184,17 @@ def test_one_payload_of_two_callers_is_judged_by_its_caller(spark):
     rows = jobs.normalized(jobs.parsed(spark.createDataFrame(sent, schemas.WIRE_MESSAGES)))
     got = sorted((r.caller or "", r.id or "", r.reject_reason or "", r.value == text, r.data) for r in rows.collect())
     assert got == [("", "1", "", False, '{"k":1.5}'), ("", "2", "", False, '{"k":1.5}'), ("nobody", "", "invalid_source", True, '{"k":1.5}')]
+
+
+def test_texts_are_searched_once_for_numbers_and_once_for_an_identifier(spark):
+    """Patterns are most of what a message costs."""
+    rows = spark.createDataFrame([(body(1), {}, T0)], schemas.WIRE_MESSAGES)
+
+    def used(df, name):
+        return df._jdf.queryExecution().analyzed().toString().count(name)
+
+    marked = rows.select(envelopes._marked_numbers(F.col("value")).alias("x"))
+    assert used(marked, "regexp_replace") == 1
+    did = rows.select(identity.canonical_did(F.col("value"), legacy=False).alias("x"))
+    # The digits are looked for and taken; the rest of the identifier is one replacement.
+    assert used(did, "regexp_extract") == 2 and used(did, "regexp_replace") == 1

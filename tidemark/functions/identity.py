@@ -134,14 +134,9 @@ def canonical_did(c: Column, legacy: bool = True, ethr: bool = False, address: C
     token_form = [checks.ERC721] + ([checks.LEGACY_NFT] if legacy else [])
     out = None
     for pattern in token_form:
-        text = F.concat(
-            F.lit("did:erc721:"),
-            _number_text(F.regexp_extract(c, pattern, 1)),
-            F.lit(":"),
-            address,
-            F.lit(":"),
-            _number_text(F.regexp_extract(c, pattern, 3)),
-        )
+        # Numbers lose their leading zeros; the groups of the two numbers are 1 and 3.
+        bare = pattern.replace(":([0-9]+)", ":0*([0-9]+)").replace("_([0-9]+)", "_0*([0-9]+)")
+        text = F.regexp_replace(c, F.lit(bare), F.concat(F.lit("did:erc721:$1:"), address, F.lit(":$3")))
         out = F.when(c.rlike(pattern), text) if out is None else out.when(c.rlike(pattern), text)
     if ethr:
         text = F.concat(

@@ -36,15 +36,16 @@ _STRING_OR_NUMBER = (
 
 
 def _marked_numbers(value: Column) -> Column:
-    """Every number as a string between marks."""
-    both = F.regexp_replace(value, _STRING_OR_NUMBER, f"$1{_MARK}$2{_MARK}")
-    numbers = F.regexp_replace(both, f"{_MARK}{_MARK}", "")
-    return F.regexp_replace(numbers, f"{_MARK}([^{_MARK}]+){_MARK}", f'"{_MARK}$1{_MARK}"')
+    """Every number as a string between marks. One pass marks strings and numbers alike; a
+    string then has an empty number behind it, which goes again."""
+    both = F.regexp_replace(value, _STRING_OR_NUMBER, f'$1"{_MARK}$2{_MARK}"')
+    return F.replace(both, F.lit(f'"{_MARK}{_MARK}"'), F.lit(""))
 
 
 def _unmarked(text: Column) -> Column:
     """Numbers as they were written."""
-    return F.translate(F.regexp_replace(text, f'"{_MARK}([^{_MARK}"]+){_MARK}"', "$1"), _MARK, "")
+    bare = F.replace(F.regexp_replace(text, f'"{_MARK}([^{_MARK}"]+){_MARK}"', "$1"), F.lit(_MARK), F.lit(""))
+    return F.when(F.contains(text, F.lit(_MARK)), bare).otherwise(text)
 
 
 def _data_text(value: Column, data: Column) -> Column:
@@ -57,13 +58,13 @@ def _data_text(value: Column, data: Column) -> Column:
 
 def _extras_text(value: Column, fields: Column) -> Column:
     """JSON of the unnamed fields; parsed a second time only where some exist."""
-    unnamed = F.map_filter(fields, lambda k, v: ~k.isin(NAMED_FIELDS))
+    unnamed = F.exists(F.map_keys(fields), lambda k: ~k.isin(NAMED_FIELDS))
     typed = F.to_json(
         F.map_filter(
             F.from_json(value, "map<string,variant>"), lambda k, v: ~k.isin(NAMED_FIELDS)
         )
     )
-    return F.when(F.size(unnamed) > 0, typed).otherwise(F.lit("{}"))
+    return F.when(unnamed, typed).otherwise(F.lit("{}"))
 
 
 def parse_envelopes(
