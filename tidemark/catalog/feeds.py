@@ -211,7 +211,7 @@ def stream_ingest_replayed(spark, d):
     headers = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     table, checkpoint, source = new_table(spark), scratch_path(spark, "checkpoint"), scratch_path(spark, "messages")
     files = spark.sparkContext.defaultParallelism
-    messages.select("value", headers.alias("headers"), "ingest_time").repartition(2 * files).write.parquet(source)
+    messages.select("value", headers.alias("headers"), "ingest_time").repartition(2 * files).write.option("maxRecordsPerFile", ROWS_OF_A_FILE).parquet(source)
     finished(jobs.ingest_query(read_event_stream(spark, source, files), table, checkpoint, trigger=ONCE))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
