@@ -150,7 +150,7 @@ def stream_ingest_bundles(spark, d):
     late = F.col("event_id") % 5 == 4
     files = spark.sparkContext.defaultParallelism
     for part, at_once in ((~late, False), (late, True)):
-        messages.where(part).select("value", "headers", "ingest_time").repartition(2 * files).write.mode("append").parquet(source)
+        messages.where(part).select("value", "headers", "ingest_time").repartition(2 * files).write.option("maxRecordsPerFile", ROWS_OF_A_FILE).mode("append").parquet(source)
         stream = read_event_stream(spark, source, files)
         finished(jobs.ingest_query(stream, table, checkpoint, trigger=ONCE, bounds=bounds))
         if table.last_snapshot() != (1 if at_once else 0):
